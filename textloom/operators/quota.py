@@ -82,15 +82,14 @@ def plan_table(spark: SparkSession, rows: Sequence[tuple[str, str, int]]) -> Dat
     return spark.createDataFrame(list(rows), PLAN_SCHEMA)
 
 
-def _window_take(df: DataFrame, plan: DataFrame, stratum: str, key: str, top: int) -> DataFrame:
+def _window_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     order = Window.partitionBy(stratum).orderBy(key)
-    quotas = plan.select(F.col("stratum").alias(stratum), "quota")
-    ranked = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top)
-    return (
-        ranked.join(F.broadcast(quotas), stratum)
-        .where(F.col("_rank") <= F.col("quota"))
-        .select(*df.columns)
-    )
+    plan = df.sparkSession.createDataFrame(list(quotas.items()), f"`{stratum}` string, _quota bigint")
+    if len(quotas) <= MAX_STRATA:
+        plan = F.broadcast(plan)
+    ranked = df.withColumn("_rank", F.row_number().over(order))
+    ranked = ranked.where(F.col("_rank") <= max(quotas.values(), default=0))
+    return ranked.join(plan, stratum).where(F.col("_rank") <= F.col("_quota")).select(*df.columns)
 
 
 @dataclass
@@ -203,8 +202,7 @@ def stratified_take(
         method = "cut" if top > WINDOW_LIMIT and len(quotas) <= MAX_STRATA else "window"
     if method == "cut":
         return _cut_take(df, quotas, stratum, key)
-    plan = df.sparkSession.createDataFrame(list(quotas.items()), "stratum string, quota bigint")
-    return _window_take(df, plan, stratum, key, top)
+    return _window_take(df, quotas, stratum, key)
 
 
 def take_per_dataset(df: DataFrame, max_samples: int, dataset: str = "dataset", key: str = "doc_id") -> DataFrame:

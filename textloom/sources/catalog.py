@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -13,6 +13,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from textloom.functions.formats import safe_ratio
+
 CATALOG_SCHEMA = StructType(
     [
         StructField("phase", StringType(), False),
@@ -98,6 +100,24 @@ def catalog(spark: SparkSession, sources=SOURCES) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in sources], CATALOG_SCHEMA)
 
 
+def catalog_of(df: DataFrame, phase: str, text_field: str = "text", streaming: bool = True) -> DataFrame:
+    """A catalogue read off a (dataset, language) table: its datasets, their languages and shares."""
+    counts = df.groupBy("dataset", "language").agg(F.count(F.lit(1)).alias("n"))
+    per_set = counts.groupBy("dataset").agg(
+        F.array_sort(F.collect_set("language")).alias("subsets"), F.sum("n").alias("n")
+    )
+    total = F.sum("n").over(Window.partitionBy())
+    return per_set.select(
+        F.lit(phase).alias("phase"),
+        "dataset",
+        F.concat(F.lit("tables/"), "dataset").alias("name"),
+        "subsets",
+        F.lit(streaming).alias("streaming"),
+        F.lit(text_field).alias("text_field"),
+        safe_ratio(F.col("n"), total).alias("weight"),
+    )
+
+
 def catalog_subsets(sources: DataFrame) -> DataFrame:
     """One row per subset; a dataset without subsets keeps one row with a null subset."""
     return sources.select(

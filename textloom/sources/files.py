@@ -12,29 +12,35 @@ _CORRUPT = "_corrupt_record"
 _FILE_SCHEMA = StructType([*RECORD_FIELDS, StructField(_CORRUPT, StringType())])
 
 
-def _read(spark: SparkSession, folder: str, recursive: bool) -> DataFrame:
-    return (
-        spark.read.schema(_FILE_SCHEMA)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("pathGlobFilter", "*.json")
+def _read(spark: SparkSession, folder: str, recursive: bool, pattern: str) -> DataFrame:
+    """One row per file: its stem, its text, and the record parsed from it."""
+    files = (
+        spark.read.option("wholetext", True)
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", recursive)
-        .json(folder)
-        .withColumn("checkpoint_key", F.regexp_replace("_metadata.file_name", r"\.json$", ""))
+        .text(folder)
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = files.select(
+        F.regexp_replace("_metadata.file_name", r"\.[^.]+$", "").alias("checkpoint_key"),
+        F.col("value").alias("content"),
+        F.from_json("value", _FILE_SCHEMA, options).alias("record"),
     )
+    broken = F.col("record").isNull() | F.col(f"record.{_CORRUPT}").isNotNull()
+    return parsed.withColumn("broken", broken)
 
 
-def scan_checkpoints(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+def scan_checkpoints(spark: SparkSession, folder: str, recursive: bool = False, pattern: str = "*.json") -> DataFrame:
     """All readable checkpoint files of a folder, keyed by file stem; others are skipped."""
-    rows = _read(spark, folder, recursive)
-    return rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    rows = _read(spark, folder, recursive, pattern).where(~F.col("broken"))
+    return rows.select("checkpoint_key", *[F.col(f"record.{f.name}") for f in RECORD_FIELDS])
 
 
-def corrupt_checkpoints(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+def corrupt_checkpoints(
+    spark: SparkSession, folder: str, recursive: bool = False, pattern: str = "*.json"
+) -> DataFrame:
     """Files that could not be read, with what they hold."""
-    rows = _read(spark, folder, recursive).where(F.col(_CORRUPT).isNotNull())
-    return rows.select("checkpoint_key", F.col(_CORRUPT).alias("content"))
+    return _read(spark, folder, recursive, pattern).where("broken").select("checkpoint_key", "content")
 
 
 def inventory(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:

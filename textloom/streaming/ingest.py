@@ -17,13 +17,15 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from textloom.functions.text import MIN_CHARS, long_enough
 from textloom.functions.tokens import MAX_LENGTH, Codec
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records
-from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES
+from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES, latest
 from textloom.operators.quota import stratified_take
 from textloom.sources.catalog import COMPRESSION, ROW_GROUP_ROWS, marker_of
 from textloom.sources.tables import filter_documents
 
 # Fixed value: samples between two progress records. File streams are bounded by files or bytes.
 CHECKPOINT_SAMPLES = 1_000
+# Commits of successive batches are this far apart, which leaves room for resets and deletes.
+SEQ_STEP = 1_024
 
 RECORD_SCHEMA = StructType(
     [
@@ -83,17 +85,19 @@ def read_records(spark: SparkSession, output: str) -> DataFrame:
     schema = StructType([*RECORD_SCHEMA.fields, StructField("batch_id", LongType())])
     committed = read_ledger(spark, output).select("batch_id").distinct()
     rows = spark.read.schema(schema).parquet(f"{output}/data")
-    return rows.join(F.broadcast(committed), "batch_id", "left_semi")
+    return rows.join(committed, "batch_id", "left_semi")
 
 
 def dataset_totals(ledger: DataFrame) -> DataFrame:
-    """Samples and tokens so far per (phase, dataset), from the newest row of each."""
-    return ledger.groupBy("phase", "dataset_name").agg(
-        F.max("total_samples_processed").alias("samples"),
-        F.max("total_tokens_processed").alias("tokens"),
-        F.max("files_created").alias("files"),
-        F.min("started_at").alias("started_at"),
-        F.max("retry_count").alias("retry_count"),
+    """Samples, tokens and files so far per (phase, dataset): the newest state, so resets count."""
+    return latest(ledger).select(
+        "phase",
+        "dataset_name",
+        F.col("total_samples_processed").alias("samples"),
+        F.col("total_tokens_processed").alias("tokens"),
+        F.col("files_created").alias("files"),
+        "started_at",
+        "retry_count",
     )
 
 
@@ -133,7 +137,7 @@ def _ledger_rows(spark: SparkSession, data_path: str, ledger: DataFrame, batch_i
         zero("retry_count").cast("int").alias("retry_count"),
         F.coalesce("started_at", now).alias("started_at"),
         now.alias("last_checkpoint_at"),
-        F.lit(batch_id).cast("bigint").alias("seq"),
+        F.lit(batch_id * SEQ_STEP).cast("bigint").alias("seq"),
         F.lit("commit").alias("op"),
     )
 
