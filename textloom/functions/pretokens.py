@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import nfkc_parts
 
-# Fixed value: the public byte-level split pattern; (?U) makes the classes Unicode-wide.
+# Fixed value: the public byte-level split pattern, with its blanks (Unicode white space) spelled out.
+_SPACE = r"\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRETOKEN = (
-    r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+    rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 
 # The special tokens; ids 0..20 in this order.

@@ -41,28 +41,40 @@ def breakdown(df: DataFrame, category: str = "category", member: str = "member",
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], block: int = 1_000
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    sums: dict[str, Column],
+    lows: dict[str, Column] | None = None,
+    block: int = 1_000,
 ) -> DataFrame:
     """Running sums per key in ``order``, in two levels so that a hot key is spread over tasks.
 
-    Rows are numbered within blocks of ``block`` order values; a window over the far smaller
-    table of block totals gives each block its start. ``order`` is a unique number.
+    Rows are summed within blocks of ``block`` order values; a window over the far smaller table
+    of block totals gives each block its start. ``lows`` adds minima over all of a key's rows.
+    ``order`` is a unique number.
     """
-    numbered = df.withColumn("_block", F.floor(F.col(order) / block).cast("bigint"))
-    for name, value in sums.items():
-        numbered = numbered.withColumn(f"_in_{name}", value)
-    blocks = numbered.groupBy(*keys, "_block").agg(*[F.sum(f"_in_{n}").alias(f"_all_{n}") for n in sums])
+    lows = lows or {}
+    inputs = {**{f"_in_{n}": v for n, v in sums.items()}, **{f"_low_{n}": v for n, v in lows.items()}}
+    numbered = df.withColumns({"_block": F.expr(f"`{order}` div {block}"), **inputs})
+    blocks = numbered.groupBy(*keys, "_block").agg(
+        *[F.sum(f"_in_{n}").alias(f"_all_{n}") for n in sums],
+        *[F.min(f"_low_{n}").alias(f"_low_{n}") for n in lows],
+    )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
-        *keys, "_block", *[F.coalesce(F.sum(f"_all_{n}").over(before), F.lit(0)).alias(f"_start_{n}") for n in sums]
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_block").alias("_key__block"),
+        *[F.coalesce(F.sum(f"_all_{n}").over(before), F.lit(0)).alias(f"_start_{n}") for n in sums],
+        *[F.min(f"_low_{n}").over(Window.partitionBy(*keys)).alias(n) for n in lows],
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = numbered
-    for name in sums:
-        local = local.withColumn(f"_in_{name}", F.sum(f"_in_{name}").over(inside))
-    joined = local.join(starts, [*keys, "_block"])
-    return joined.select(
-        *df.columns, *[(F.col(f"_in_{n}") + F.col(f"_start_{n}")).alias(n) for n in sums]
+    local = numbered.drop(*[f"_low_{n}" for n in lows]).withColumns(
+        {f"_in_{n}": F.sum(f"_in_{n}").over(inside) for n in sums}
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in [*keys, "_block"]]
+    return local.join(starts, same).select(
+        *df.columns, *[(F.col(f"_in_{n}") + F.col(f"_start_{n}")).alias(n) for n in sums], *lows
     )
 
 

@@ -111,7 +111,6 @@ class _Progress:
     limit: int
     ids: dict[str, int] = field(init=False)
     merges: list[Merge] = field(default_factory=list)
-    reused: set[int] = field(default_factory=set)
 
     def __post_init__(self) -> None:
         self.ids = {t: i for i, t in enumerate(self.tokens)}
@@ -121,9 +120,7 @@ class _Progress:
 
     def record(self, pair: str, count: int) -> Merge:
         token = self.joined(pair)
-        if token in self.ids:
-            self.reused.add(self.ids[token])
-        else:
+        if token not in self.ids:
             self.ids[token] = len(self.tokens)
             self.tokens.append(token)
         merge = Merge(pair, token, self.ids[token], count)
@@ -149,20 +146,6 @@ class _Progress:
                 break
         return batch
 
-    def carried_counts(self) -> dict[str, int]:
-        """Counts kept by pairs that were merged and may come back.
-
-        A merge whose product is an older token can bring a merged pair back. The public
-        trainer then still holds the count from its merge and adds the new occurrences to it.
-        Self pairs are left out.
-        """
-        if not self.reused:
-            return {}
-        marks = {symbol_char(i) for i in self.reused}
-        return {
-            m.pair: m.count for m in self.merges if m.pair[0] != m.pair[1] and marks & set(m.pair)
-        }
-
 
 def _inline_rewrite(symbols: Column, batch: list[Merge]) -> Column:
     for merge in batch:
@@ -206,16 +189,6 @@ def rewrite_words(words: DataFrame, batches: list[list[Merge]]) -> DataFrame:
     return words.select(symbols.alias("symbols"), "n")
 
 
-def _with_carried(spark: SparkSession, counts: DataFrame, carried: dict[str, int]) -> DataFrame:
-    if not carried:
-        return counts
-    kept = spark.createDataFrame(list(carried.items()), "pair string, carried bigint")
-    # Bounded by the vocabulary size, so it is safe to broadcast.
-    return counts.join(F.broadcast(kept), "pair", "left").select(
-        "pair", (F.col("n") + F.coalesce("carried", F.lit(0))).alias("n")
-    )
-
-
 @dataclass
 class Vocabulary:
     """A learned vocabulary: tokens in id order and merges in rank order."""
@@ -283,8 +256,7 @@ def train_vocabulary(
             drop_path(spark, path)
             path, words, backlog = newer, _read_words(spark, newer), []
         current = rewrite_words(words, backlog)
-        ranked = _with_carried(spark, pair_counts(current), state.carried_counts())
-        head = top_pairs(ranked, min(candidates, room), min_frequency).collect()
+        head = top_pairs(pair_counts(current), min(candidates, room), min_frequency).collect()
         batch = state.choose([(r["pair"], r["n"]) for r in head])
         if not batch:
             break

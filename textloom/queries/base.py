@@ -13,6 +13,7 @@ from textloom.operators.quota import Group
 from textloom.operators.vocabulary import Vocabulary
 from textloom.plans.corpus import eligible
 from textloom.plans.training import train_from_corpus
+from textloom.sources.tables import spread
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,15 @@ def all_sources(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).unionByName(pages(spark, sf))
 
 
+def spread_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for costly text work: a file with few row groups still uses all cores."""
+    return spread(documents(spark, sf), "doc_id")
+
+
+def spread_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(all_sources(spark, sf), "doc_id")
+
+
 _VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
 
 
@@ -81,7 +91,7 @@ def vocabulary(spark: SparkSession, sf: str, fresh: bool = False) -> Vocabulary:
     """A vocabulary learned from all eligible documents, once per session and table folder."""
     key = (spark.sparkContext.applicationId, sf)
     if fresh or key not in _VOCABULARIES:
-        corpus = eligible(documents(spark, sf), length_col="n_chars")
+        corpus = eligible(spread_documents(spark, sf), length_col="n_chars")
         _VOCABULARIES[key] = train_from_corpus(corpus, max_merges=N_MERGES)
     return _VOCABULARIES[key]
 

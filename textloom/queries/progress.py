@@ -35,11 +35,8 @@ def event_ledger(spark, sf):
         F.floor("value").cast("bigint").alias("whole"),
     )
     keys = ["dataset_name", "subset"]
-    totals = running_totals(
-        events, keys, "event_id", {"samples": F.lit(1).cast("bigint"), "tokens": F.col("whole")}
-    )
-    starts = events.groupBy(*keys).agg(F.min("ts").alias("first_ts"))
-    rows = totals.join(starts, keys)
+    sums = {"samples": F.lit(1).cast("bigint"), "tokens": F.col("whole")}
+    rows = running_totals(events, keys, "event_id", sums, {"first_ts": F.col("ts")})
     files = F.ceil(F.col("samples") / 100).cast("int")
     failed = (F.col("dataset_name") == "error") & (F.col("user_id") % 10 < 3)
     return rows.select(

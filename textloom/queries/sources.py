@@ -19,6 +19,7 @@ from textloom.queries.base import (
     query,
     sql_lines,
     sql_strip,
+    spread_sources,
     sql_words,
 )
 from textloom.session import fresh_path
@@ -110,7 +111,7 @@ SELECT {sql_strip('line')} AS line, count(*) AS n FROM l GROUP BY 1""",
 )
 def corpus_lines_query(spark, sf):
     path = fresh_path(spark, "corpus")
-    stripped = eligible(all_sources(spark, sf), length_col="n_chars").select("language", strip(F.col("text")).alias("text"))
+    stripped = eligible(spread_sources(spark, sf), length_col="n_chars").select("language", strip(F.col("text")).alias("text"))
     write_corpus(stripped, path, by="language")
     back = scan_lines(spark, path)
     # The file reader breaks at CR, LF and CR LF as well, so only the strip is left to do.
@@ -251,7 +252,7 @@ def conversation_render(spark, sf):
   count(*) FILTER (nfc_normalize(text) <> text) AS changed FROM src GROUP BY language""",
 )
 def nfkc_query(spark, sf):
-    normal = all_sources(spark, sf).select("language", "text", nfkc(F.col("text")).alias("normal"))
+    normal = spread_sources(spark, sf).select("language", "text", nfkc(F.col("text")).alias("normal"))
     return normal.groupBy("language").agg(
         F.count(F.lit(1)).alias("docs"),
         F.sum(F.length("normal")).alias("chars"),
@@ -261,7 +262,7 @@ def nfkc_query(spark, sf):
 
 @query("word_count", f"WITH {SRC} SELECT dataset, doc_id, CAST({sql_words('text')} AS BIGINT) AS words FROM src")
 def word_count_query(spark, sf):
-    return all_sources(spark, sf).select("dataset", "doc_id", word_count(F.col("text")).cast("bigint").alias("words"))
+    return spread_sources(spark, sf).select("dataset", "doc_id", word_count(F.col("text")).cast("bigint").alias("words"))
 
 
 @query(
@@ -282,7 +283,7 @@ FROM f GROUP BY 1, 2""",
 def fertility_band_query(spark, sf):
     """Bands over two bytes per token, a figure that needs no vocabulary."""
     ratio = safe_ratio(F.octet_length("text"), word_count(F.col("text"))) / 2
-    banded = all_sources(spark, sf).select("dataset", fertility_band(ratio).alias("band"))
+    banded = spread_sources(spark, sf).select("dataset", fertility_band(ratio).alias("band"))
     return banded.groupBy("dataset", "band").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -16,6 +16,8 @@ from textloom.queries.base import (
     DOCS,
     SRC,
     all_sources,
+    spread_documents,
+    spread_sources,
     documents,
     query,
     sql_pretokens,
@@ -35,7 +37,7 @@ def _codec(spark, sf) -> Codec:
 
 
 def _usable(spark, sf):
-    return eligible(documents(spark, sf), length_col="n_chars")
+    return eligible(spread_documents(spark, sf), length_col="n_chars")
 
 
 def _ids_text(column: str):
@@ -47,7 +49,7 @@ def _ids_text(column: str):
     f"WITH {SRC} SELECT dataset, doc_id, CAST(len(w) AS BIGINT) AS n, array_to_string(w, '~') AS pieces FROM (SELECT dataset, doc_id, {sql_pretokens('text')} AS w FROM src)",
 )
 def pretokenize(spark, sf):
-    pieces = all_sources(spark, sf).select("dataset", "doc_id", pretokens(F.col("text")).alias("w"))
+    pieces = spread_sources(spark, sf).select("dataset", "doc_id", pretokens(F.col("text")).alias("w"))
     return pieces.select("dataset", "doc_id", F.size("w").cast("bigint").alias("n"), F.array_join("w", "~").alias("pieces"))
 
 
@@ -115,7 +117,7 @@ _USABLE = f"{DOCS}, texts AS (SELECT doc_id AS k, text, language, dataset, phase
 )
 def encode_documents(spark, sf):
     ids = _codec(spark, sf).encode(F.col("text"))
-    encoded = documents(spark, sf).select("doc_id", ids.alias("ids"))
+    encoded = spread_documents(spark, sf).select("doc_id", ids.alias("ids"))
     return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _ids_text("ids").alias("input_ids"))
 
 
@@ -125,7 +127,7 @@ def encode_documents(spark, sf):
 )
 def decode_roundtrip(spark, sf):
     codec = _codec(spark, sf)
-    encoded = all_sources(spark, sf).select("language", "text", codec.encode(F.col("text")).alias("ids"))
+    encoded = spread_sources(spark, sf).select("language", "text", codec.encode(F.col("text")).alias("ids"))
     back = encoded.select("language", nfkc(F.col("text")).alias("normal"), codec.decode(F.col("ids")).alias("decoded"))
     return back.groupBy("language").agg(
         F.count(F.lit(1)).alias("docs"),
@@ -168,7 +170,7 @@ def tokenized_schema(spark, sf):
     """Records with a language marker (only English has one among the test languages)."""
     from textloom.sources.catalog import marker_of
 
-    records = encode_records(documents(spark, sf), _codec(spark, sf), marker=marker_of(F.col("language")), keep=["doc_id"])
+    records = encode_records(spread_documents(spark, sf), _codec(spark, sf), marker=marker_of(F.col("language")), keep=["doc_id"])
     return records.select(
         "doc_id", "length", "language", "dataset", *[_ids_text(c).alias(c) for c in ("input_ids", "attention_mask", "labels")]
     )
@@ -204,7 +206,7 @@ def _sql_band(f: str) -> str:
   FROM counted GROUP BY language) SELECT language, tokens, words, texts, fertility, mean_fertility FROM per JOIN m USING (language)""",
 )
 def fertility_by_language_query(spark, sf):
-    return fertility_by_language(documents(spark, sf), _codec(spark, sf)).withColumn(
+    return fertility_by_language(spread_documents(spark, sf), _codec(spark, sf)).withColumn(
         "mean_fertility", F.round("mean_fertility", 6)
     )
 
@@ -214,7 +216,7 @@ def fertility_by_language_query(spark, sf):
     f"WITH {_COUNTED} SELECT round(avg(fertility), 9) AS macro_fertility, count(*) AS languages FROM per WHERE language IN ('de', 'es', 'fr')",
 )
 def fertility_macro(spark, sf):
-    per_language = fertility_by_language(documents(spark, sf), _codec(spark, sf))
+    per_language = fertility_by_language(spread_documents(spark, sf), _codec(spark, sf))
     return macro_average(per_language, _GROUP).withColumn("macro_fertility", F.round("macro_fertility", 9))
 
 
@@ -225,7 +227,7 @@ def fertility_macro(spark, sf):
 SELECT language, tokens, words, texts, round(fertility, 9) AS fertility, {_sql_band('fertility')} AS band FROM rows""",
 )
 def fertility_report_query(spark, sf):
-    report = fertility_report(documents(spark, sf), _codec(spark, sf), _GROUP)
+    report = fertility_report(spread_documents(spark, sf), _codec(spark, sf), _GROUP)
     return report.withColumn("fertility", F.round("fertility", 9))
 
 
@@ -238,7 +240,7 @@ SELECT k AS doc_id, language, CASE WHEN length(text) > 50 THEN substring(text, 1
 FROM enc JOIN texts USING (k)""",
 )
 def text_fertility_query(spark, sf):
-    return text_fertility(documents(spark, sf), _codec(spark, sf), keep=["doc_id"])
+    return text_fertility(spread_documents(spark, sf), _codec(spark, sf), keep=["doc_id"])
 
 
 @query(

@@ -15,10 +15,9 @@ _FILE_SCHEMA = StructType([*RECORD_FIELDS, StructField(_CORRUPT, StringType())])
 def _read(spark: SparkSession, folder: str, recursive: bool, pattern: str) -> DataFrame:
     """One row per file: its stem, its text, and the record parsed from it."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", recursive)
-        .text(folder)
+        .text(folder, wholetext=True)
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = files.select(

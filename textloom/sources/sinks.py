@@ -33,14 +33,17 @@ def write_records(
     by: tuple[str, ...] = ("phase", "dataset"),
     row_group_rows: int = ROW_GROUP_ROWS,
     replace: bool = True,
+    compact: bool = True,
 ) -> None:
     """Snappy Parquet with bounded row groups, one directory per phase and dataset.
 
-    Rows are written from the tasks they are in: no shuffle, and a large dataset is spread over
-    many files.
+    ``compact`` rebalances rows by directory first: Spark then splits a large dataset over many
+    tasks and gathers small ones, so files have a good size. Leave it out when the input is
+    already laid out by dataset, to save the shuffle.
     """
+    rows = df.hint("rebalance", *by) if compact else df
     (
-        df.write.mode(_mode(replace))
+        rows.write.mode(_mode(replace))
         .partitionBy(*by)
         .option("compression", COMPRESSION)
         .option("parquet.block.row.count.limit", str(row_group_rows))

@@ -29,6 +29,17 @@ def scan(spark: SparkSession, path: str, schema: StructType | str | None = None)
     return reader.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan over all cores when it has too few input splits to keep them busy.
+
+    A large table has many more splits than there are cores and is left alone, so this never
+    shuffles one. Meant for a plain scan ahead of costly text expressions; filters and column
+    pruning still reach the scan below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores, key)
+
+
 def scan_subsets(
     spark: SparkSession, root: str, schema: StructType | str | None = None, **chosen: Sequence[str] | str
 ) -> DataFrame:

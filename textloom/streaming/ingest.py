@@ -19,8 +19,9 @@ from textloom.functions.tokens import MAX_LENGTH, Codec
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records
 from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES, latest
 from textloom.operators.quota import stratified_take
-from textloom.sources.catalog import COMPRESSION, ROW_GROUP_ROWS, marker_of
-from textloom.sources.tables import filter_documents
+from textloom.sources.catalog import marker_of
+from textloom.sources.sinks import write_records
+from textloom.sources.tables import filter_documents, spread
 
 # Fixed value: samples between two progress records. File streams are bounded by files or bytes.
 CHECKPOINT_SAMPLES = 1_000
@@ -146,7 +147,7 @@ def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, opti
     """Encode one micro-batch, write it, then commit it to the ledger."""
     spark = batch.sparkSession
     ledger = read_ledger(spark, output, before=batch_id)
-    rows = filter_documents(batch, options.phases, options.languages)
+    rows = filter_documents(spread(batch, "doc_id"), options.phases, options.languages)
     rows = rows.where(long_enough(F.col("text"), options.min_chars))
     if options.max_samples is not None:
         rows = _within_quota(rows, ledger, options.max_samples)
@@ -159,13 +160,7 @@ def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, opti
         pad_to_max=options.pad_to_max,
     )
     data_path = f"{output}/data/batch_id={batch_id}"
-    (
-        records.write.mode("overwrite")
-        .partitionBy("phase", "dataset")
-        .option("compression", COMPRESSION)
-        .option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS))
-        .parquet(data_path)
-    )
+    write_records(records, data_path)
     committed = _ledger_rows(spark, data_path, ledger, batch_id)
     committed.coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={batch_id}")
 
