@@ -8,6 +8,7 @@ the ids out with array arithmetic, so Python never loops over the tokens of a te
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
@@ -27,6 +28,15 @@ MAX_LENGTH = 2048
 # A vocabulary may list more merges than tokens (joined texts can repeat), but not many more.
 MAX_BROADCAST_ROWS = 1_000_000
 _CACHE_WORDS = 200_000
+_CACHES: dict[str, dict[str, list[int]]] = {}
+
+
+def word_cache(codec: str) -> dict[str, list[int]]:
+    """Encoded words of a codec in this Python worker, kept from task to task."""
+    if codec not in _CACHES:
+        _CACHES.clear()
+        _CACHES[codec] = {}
+    return _CACHES[codec]
 
 
 def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -91,6 +101,7 @@ class Codec:
         context = self.spark.sparkContext
         self._encoding = context.broadcast((self.ranks, byte_id, special_id))
         self._bytes = context.broadcast(as_bytes)
+        self._key = uuid.uuid4().hex
         self.pad_id = special_id.get(PAD_TOKEN, 0)
 
     @classmethod
@@ -113,12 +124,12 @@ class Codec:
 
     def encode_words(self, words: Column) -> Column:
         """Token ids of a row's pre-tokens."""
-        shared = self._encoding
-        cache: dict[str, list[int]] = {}
+        shared, key = self._encoding, self._key
 
         @F.arrow_udf(ArrayType(IntegerType()))
         def encode(rows: pa.Array) -> pa.Array:
             ranks, byte_id, special_id = shared.value
+            cache = word_cache(key)
             found = rows.flatten().dictionary_encode()
             ids = []
             for word in found.dictionary.to_pylist():

@@ -82,11 +82,15 @@ def plan_table(spark: SparkSession, rows: Sequence[tuple[str, str, int]]) -> Dat
     return spark.createDataFrame(list(rows), PLAN_SCHEMA)
 
 
+def _per_stratum(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table with one row per stratum; broadcast only while there are at most MAX_STRATA."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_STRATA else table
+
+
 def _window_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     order = Window.partitionBy(stratum).orderBy(key)
-    plan = df.sparkSession.createDataFrame(list(quotas.items()), f"`{stratum}` string, _quota bigint")
-    if len(quotas) <= MAX_STRATA:
-        plan = F.broadcast(plan)
+    plan = _per_stratum(df.sparkSession, list(quotas.items()), f"`{stratum}` string, _quota bigint")
     ranked = df.withColumn("_rank", F.row_number().over(order))
     ranked = ranked.where(F.col("_rank") <= max(quotas.values(), default=0))
     return ranked.join(plan, stratum).where(F.col("_rank") <= F.col("_quota")).select(*df.columns)
@@ -123,8 +127,8 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
     strata times ``_RANGES`` and by ``_SMALL_RANGE`` keys for each stratum in the last step.
     """
     spark = df.sparkSession
-    keyed = df.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k"))
-    keyed = keyed.where(F.col("s").isin(list(quotas)))
+    wanted = _per_stratum(spark, [(s,) for s in quotas], "s string")
+    keyed = df.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k")).join(wanted, "s")
     bounds = keyed.groupBy("s").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n"))
     cuts: dict[str, int | None] = {s: None for s in quotas}
     open_strata: dict[str, _Open] = {}
@@ -135,11 +139,12 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
             open_strata[row.s] = _Open(row.lo, row.hi, quotas[row.s])
     small: dict[str, _Open] = {}
     while open_strata:
-        spans = spark.createDataFrame(
+        spans = _per_stratum(
+            spark,
             [(s, o.low, o.high, o.left, Decimal(o.width)) for s, o in open_strata.items()],
             "s string, lo bigint, hi bigint, left bigint, width decimal(20,0)",
         )
-        inside = keyed.join(F.broadcast(spans), "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
+        inside = keyed.join(spans, "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
         histogram = inside.groupBy(
             "s", "left", _range_of("k", "lo", "width").alias("range")
         ).agg(F.count(F.lit(1)).alias("n"))
@@ -160,11 +165,12 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
             else:
                 open_strata[row.s] = found
     if small:
-        spans = spark.createDataFrame(
+        spans = _per_stratum(
+            spark,
             [(s, o.low, o.high, o.left) for s, o in small.items()],
             "s string, lo bigint, hi bigint, left bigint",
         )
-        inside = keyed.join(F.broadcast(spans), "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
+        inside = keyed.join(spans, "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
         rank = F.row_number().over(Window.partitionBy("s").orderBy("k"))
         ends = inside.withColumn("rank", rank).where(F.col("rank") == F.col("left")).select("s", "k")
         cuts.update({r.s: r.k for r in ends.collect()})
@@ -174,10 +180,9 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
 def _cut_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     spark = df.sparkSession
     cuts = cut_keys(df, quotas, stratum, key)
-    table = spark.createDataFrame(list(cuts.items()), f"`{stratum}` string, _last bigint")
-    # One row per stratum, at most MAX_STRATA.
+    table = _per_stratum(spark, list(cuts.items()), f"`{stratum}` string, _last bigint")
     return (
-        df.join(F.broadcast(table), stratum)
+        df.join(table, stratum)
         .where(F.col("_last").isNull() | (F.col(key) <= F.col("_last")))
         .select(*df.columns)
     )

@@ -6,6 +6,7 @@ A word is written as ``|id||id|...``, so merging a pair everywhere is one replac
 from __future__ import annotations
 
 from textloom.functions.pretokens import SPECIAL_TOKENS, byte_ids
+from textloom.operators.vocabulary import base_tokens
 from textloom.queries.base import N_MERGES, sql_lines, sql_pretokens, sql_strip
 
 FIRST_MERGE = len(SPECIAL_TOKENS) + 256
@@ -50,6 +51,19 @@ def training(n_merges: int = N_MERGES) -> str:
     return ",\n".join(parts)
 
 
+def token_texts(n_merges: int = N_MERGES) -> str:
+    """CTEs that end in ``tokens(id, token)``: the base tokens, then each merge's joined text."""
+    values = ", ".join("({}, '{}')".format(i, t.replace("'", "''")) for i, t in enumerate(base_tokens()))
+    parts = [f"t0(id, token) AS (VALUES {values})"]
+    for i in range(n_merges):
+        parts.append(
+            f"t{i + 1} AS MATERIALIZED (SELECT id, token FROM t{i} UNION ALL SELECT p.id, a.token || b.token "
+            f"FROM p{i} p JOIN t{i} a ON a.id = p.l JOIN t{i} b ON b.id = p.r)"
+        )
+    parts.append(f"tokens AS (SELECT id, token FROM t{n_merges})")
+    return ",\n".join(parts)
+
+
 def encoding(texts: str, n_merges: int = N_MERGES) -> str:
     """CTEs that end in ``enc(k, ids)`` for a (k, text) table; ``ids`` is a list of integers."""
     parts = [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.functions.pretokens import pretokens, word_symbols
+from textloom.functions.pretokens import SPECIAL_TOKENS, pretokens, word_symbols
 from textloom.functions.text import MIN_CHARS, nfkc
 from textloom.functions.tokens import Codec
 from textloom.operators.encoding import encode_records, shape_records, token_totals
@@ -24,9 +24,9 @@ from textloom.queries.base import (
     sql_words,
     vocabulary,
 )
-from textloom.queries.bpe_sql import WORD_COUNTS, encoding, pair_table, symbols, training
+from textloom.queries.bpe_sql import WORD_COUNTS, encoding, pair_table, symbols, token_texts, training
 from textloom.session import fresh_path
-from textloom.sources.sinks import metadata, read_vocabulary, write_records, write_vocabulary
+from textloom.sources.sinks import ALGORITHM, METADATA_SCHEMA, read_vocabulary, write_records, write_vocabulary
 from textloom.streaming.ingest import IngestOptions, read_ledger, read_records, run_ingest, stream_files
 
 _GROUP = ["de", "es", "fr"]
@@ -80,12 +80,12 @@ def bpe_merges(spark, sf):
     return learned.select("rank", "left_id", "right_id", "token_id", "pair_count")
 
 
-@query("bpe_vocab")
+@query("bpe_vocab", f"WITH {training()}, {token_texts()} SELECT id, token FROM tokens")
 def bpe_vocab(spark, sf):
     path = fresh_path(spark, "vocabulary")
     write_vocabulary(vocabulary(spark, sf), spark, path, VOCAB_SIZE)
     vocab, _ = read_vocabulary(spark, path)
-    return vocab
+    return vocab.select("id", "token")
 
 
 @query(
@@ -102,9 +102,27 @@ def bpe_merge_parts(spark, sf):
     return merges.select("rank", "token_id", parts.alias("parts"))
 
 
-@query("vocab_metadata")
+@query(
+    "vocab_metadata",
+    f"""WITH {training()} SELECT {VOCAB_SIZE} AS vocab_size, '{ALGORITHM}' AS algorithm, 2048 AS max_length,
+  '{" ".join(SPECIAL_TOKENS)}' AS special_tokens, 'en hi ta te bn mr gu kn code' AS languages,
+  (SELECT count(*) FROM merges) AS n_merges, 277 + (SELECT count(*) FROM merges) AS n_tokens""",
+)
 def vocab_metadata(spark, sf):
-    return metadata(spark, vocabulary(spark, sf), VOCAB_SIZE)
+    """The saved metadata with the sizes of the tables beside it."""
+    path = fresh_path(spark, "vocabulary")
+    write_vocabulary(vocabulary(spark, sf), spark, path, VOCAB_SIZE)
+    vocab, merges = read_vocabulary(spark, path)
+    info = spark.read.schema(METADATA_SCHEMA).json(f"{path}/metadata")
+    return info.select(
+        "vocab_size",
+        "algorithm",
+        "max_length",
+        F.array_join("special_tokens", " ").alias("special_tokens"),
+        F.array_join("languages", " ").alias("languages"),
+        merges.agg(F.count(F.lit(1))).scalar().alias("n_merges"),
+        vocab.agg(F.count(F.lit(1))).scalar().alias("n_tokens"),
+    )
 
 
 _TEXTS = f"{DOCS}, texts AS (SELECT doc_id AS k, text, language, dataset FROM docs)"

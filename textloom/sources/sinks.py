@@ -12,6 +12,10 @@ from textloom.sources.catalog import COMPRESSION, ROW_GROUP_ROWS
 ALGORITHM = "Byte-level BPE"
 METADATA_LANGUAGES = ("en", "hi", "ta", "te", "bn", "mr", "gu", "kn", "code")
 METADATA_MAX_LENGTH = 2048
+METADATA_SCHEMA = (
+    "vocab_size int, algorithm string, special_tokens array<string>, languages array<string>, "
+    "max_length int, created_for string"
+)
 
 
 def _mode(replace: bool) -> str:
@@ -70,11 +74,7 @@ def metadata(spark: SparkSession, vocabulary: Vocabulary, vocab_size: int, creat
         METADATA_MAX_LENGTH,
         created_for,
     )
-    return spark.createDataFrame(
-        [row],
-        "vocab_size int, algorithm string, special_tokens array<string>, languages array<string>, "
-        "max_length int, created_for string",
-    )
+    return spark.createDataFrame([row], METADATA_SCHEMA)
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

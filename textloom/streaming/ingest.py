@@ -1,9 +1,10 @@
 """Stream to tokenized Parquet, with a ledger row per micro-batch.
 
-Each micro-batch is written to its own ``batch_id=N`` directory in overwrite mode and then its
-ledger rows to theirs, so a batch that is replayed after a lost driver replaces what it had
-written. Totals a batch builds on come only from ledger rows of lower batch ids, so a replay
-sees what the first try saw.
+Each micro-batch writes its records to its own ``batch_id=N`` directory, then the totals of all
+datasets so far, then its ledger rows, all in overwrite mode: a batch that is replayed after a
+lost driver replaces what it had written. A batch builds on the totals of the batch before it
+and on nothing else, so a replay sees what the first try saw, and a batch costs the same however
+many went before.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from textloom.functions.text import MIN_CHARS, long_enough
 from textloom.functions.tokens import MAX_LENGTH, Codec
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records
-from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES, latest
+from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES
 from textloom.operators.quota import stratified_take
 from textloom.sources.catalog import marker_of
 from textloom.sources.sinks import write_records
@@ -66,19 +67,31 @@ def stream_files(
     return reader.parquet(path)
 
 
-def _has_batches(spark: SparkSession, path: str) -> bool:
+TOTALS_SCHEMA = StructType(
+    [
+        StructField("phase", StringType()),
+        StructField("dataset_name", StringType()),
+        StructField("samples", LongType()),
+        StructField("tokens", LongType()),
+        StructField("files", LongType()),
+        StructField("started_at", StringType()),
+        StructField("retry_count", LongType()),
+    ]
+)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def read_ledger(spark: SparkSession, output: str, before: int | None = None) -> DataFrame:
-    """Committed ledger rows, of batches below ``before`` when given."""
+def read_ledger(spark: SparkSession, output: str) -> DataFrame:
+    """Committed ledger rows."""
     path = f"{output}/ledger"
     schema = StructType([*LEDGER_SCHEMA.fields, StructField("batch_id", LongType())])
-    if not _has_batches(spark, path):
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(path)
-    return rows if before is None else rows.where(F.col("batch_id") < before)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_records(spark: SparkSession, output: str) -> DataFrame:
@@ -89,21 +102,16 @@ def read_records(spark: SparkSession, output: str) -> DataFrame:
     return rows.join(committed, "batch_id", "left_semi")
 
 
-def dataset_totals(ledger: DataFrame) -> DataFrame:
-    """Samples, tokens and files so far per (phase, dataset): the newest state, so resets count."""
-    return latest(ledger).select(
-        "phase",
-        "dataset_name",
-        F.col("total_samples_processed").alias("samples"),
-        F.col("total_tokens_processed").alias("tokens"),
-        F.col("files_created").alias("files"),
-        "started_at",
-        "retry_count",
-    )
+def totals_before(spark: SparkSession, output: str, batch_id: int) -> DataFrame:
+    """Samples, tokens and files per (phase, dataset) when a batch starts."""
+    path = f"{output}/totals/batch_id={batch_id - 1}"
+    if batch_id == 0 or not _exists(spark, path):
+        return spark.createDataFrame([], TOTALS_SCHEMA)
+    return spark.read.schema(TOTALS_SCHEMA).parquet(path)
 
 
-def _within_quota(batch: DataFrame, ledger: DataFrame, max_samples: int) -> DataFrame:
-    done = {(r.phase, r.dataset_name): r.samples for r in dataset_totals(ledger).collect()}
+def _within_quota(batch: DataFrame, totals: DataFrame, max_samples: int) -> DataFrame:
+    done = {(r.phase, r.dataset_name): r.samples for r in totals.collect()}
     names = batch.select("phase", "dataset").distinct().collect()
     room = {f"{r.phase}/{r.dataset}": max_samples - done.get((r.phase, r.dataset), 0) for r in names}
     keyed = batch.withColumn("_stratum", F.concat_ws("/", "phase", "dataset"))
@@ -111,32 +119,45 @@ def _within_quota(batch: DataFrame, ledger: DataFrame, max_samples: int) -> Data
     return taken.drop("_stratum")
 
 
-def _ledger_rows(spark: SparkSession, data_path: str, ledger: DataFrame, batch_id: int) -> DataFrame:
-    """One commit row per dataset of a batch, with running totals."""
-    records = spark.read.schema(RECORD_SCHEMA).parquet(data_path)
+def _new_totals(records: DataFrame, totals: DataFrame) -> DataFrame:
+    """Totals after a batch, with ``new_samples`` for the datasets the batch added to."""
     fresh = records.groupBy("phase", F.col("dataset").alias("dataset_name")).agg(
         F.count(F.lit(1)).alias("new_samples"), F.sum("length").alias("new_tokens")
     )
+
+    def total(name: str, added):
+        return (F.coalesce(F.col(name), F.lit(0)) + F.coalesce(added, F.lit(0))).cast("bigint").alias(name)
+
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    totals = fresh.join(dataset_totals(ledger), ["phase", "dataset_name"], "left")
+    return fresh.join(totals, ["phase", "dataset_name"], "full").select(
+        "phase",
+        "dataset_name",
+        total("samples", F.col("new_samples")),
+        total("tokens", F.col("new_tokens")),
+        total("files", F.when(F.col("new_samples").isNotNull(), 1)),
+        F.coalesce("started_at", now).alias("started_at"),
+        total("retry_count", F.lit(0)),
+        "new_samples",
+    )
 
-    def zero(name: str):
-        return F.coalesce(F.col(name), F.lit(0))
 
-    return totals.select(
+def _ledger_rows(totals: DataFrame, batch_id: int) -> DataFrame:
+    """One commit row for each dataset the batch added to."""
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return totals.where("new_samples is not null").select(
         "dataset_name",
         F.lit(None).cast("string").alias("subset"),
         "phase",
-        (zero("samples") + F.col("new_samples")).alias("total_samples_processed"),
-        (zero("tokens") + F.col("new_tokens")).alias("total_tokens_processed"),
-        (zero("files") + 1).cast("int").alias("files_created"),
-        (zero("files") + 1).cast("int").alias("current_file_idx"),
+        F.col("samples").alias("total_samples_processed"),
+        F.col("tokens").alias("total_tokens_processed"),
+        F.col("files").cast("int").alias("files_created"),
+        F.col("files").cast("int").alias("current_file_idx"),
         F.lit(0).alias("samples_in_current_file"),
         F.lit(False).alias("completed"),
         F.lit(False).alias("failed"),
         F.lit(None).cast("string").alias("error_message"),
-        zero("retry_count").cast("int").alias("retry_count"),
-        F.coalesce("started_at", now).alias("started_at"),
+        F.col("retry_count").cast("int").alias("retry_count"),
+        "started_at",
         now.alias("last_checkpoint_at"),
         F.lit(batch_id * SEQ_STEP).cast("bigint").alias("seq"),
         F.lit("commit").alias("op"),
@@ -144,13 +165,13 @@ def _ledger_rows(spark: SparkSession, data_path: str, ledger: DataFrame, batch_i
 
 
 def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, options: IngestOptions) -> None:
-    """Encode one micro-batch, write it, then commit it to the ledger."""
+    """Encode one micro-batch, write it with the totals so far, then commit it to the ledger."""
     spark = batch.sparkSession
-    ledger = read_ledger(spark, output, before=batch_id)
+    totals = totals_before(spark, output, batch_id)
     rows = filter_documents(spread(batch, "doc_id"), options.phases, options.languages)
     rows = rows.where(long_enough(F.col("text"), options.min_chars))
     if options.max_samples is not None:
-        rows = _within_quota(rows, ledger, options.max_samples)
+        rows = _within_quota(rows, totals, options.max_samples)
     records = encode_records(
         rows,
         codec,
@@ -159,10 +180,12 @@ def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, opti
         max_length=options.max_length,
         pad_to_max=options.pad_to_max,
     )
-    data_path = f"{output}/data/batch_id={batch_id}"
+    data_path, totals_path = f"{output}/data/batch_id={batch_id}", f"{output}/totals/batch_id={batch_id}"
     write_records(records, data_path)
-    committed = _ledger_rows(spark, data_path, ledger, batch_id)
-    committed.coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={batch_id}")
+    written = spark.read.schema(RECORD_SCHEMA).parquet(data_path)
+    _new_totals(written, totals).coalesce(1).write.mode("overwrite").parquet(totals_path)
+    after = spark.read.schema(StructType([*TOTALS_SCHEMA.fields, StructField("new_samples", LongType())])).parquet(totals_path)
+    _ledger_rows(after, batch_id).coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={batch_id}")
 
 
 def run_ingest(
