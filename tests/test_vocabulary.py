@@ -102,6 +102,18 @@ def test_rewrites_agree(spark, monkeypatch):
     assert V.rewrite_words(words, batches).collect() == inline
 
 
+def test_symbol_pairs_of_short_and_long_words(spark):
+    rng = random.Random(8)
+    chars = [P.symbol_char(i) for i in (30, 31, 60_000, 128_000)]
+    words = ["".join(rng.choice(chars) for _ in range(n)) for n in (1, 2, 3, 255, 256, 257, 510, 511, 512, 2000)]
+    df = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], V.WORDS_SCHEMA)
+    expected = {}
+    for i, word in enumerate(words):
+        for pair in map("".join, zip(word, word[1:])):
+            expected[pair] = expected.get(pair, 0) + i + 1
+    assert {r.pair: r.n for r in V.pair_counts(df).collect()} == expected
+
+
 def test_pretokens_match_the_library(spark):
     pre = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
     rng = random.Random(11)

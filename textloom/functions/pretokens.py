@@ -142,14 +142,3 @@ def pretokens(
             lambda raw, norm: F.when(raw.isin(*kept), F.array(raw)).otherwise(split_words(norm)),
         )
     )
-
-
-def symbol_pairs(symbols: Column) -> Column:
-    """Adjacent pairs of a symbol string, as two-character strings."""
-    chars = F.split(symbols, "")
-    n_pairs = F.greatest(F.size(chars) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(chars, 1, n_pairs),
-        F.slice(chars, 2, n_pairs),
-        lambda left, right: F.concat(left, right),
-    )

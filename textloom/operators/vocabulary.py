@@ -35,7 +35,6 @@ from textloom.functions.pretokens import (
     pretokens,
     symbol_char,
     symbol_id,
-    symbol_pairs,
     word_symbols,
 )
 from textloom.functions.text import lines, strip
@@ -67,6 +66,7 @@ WORDS_SCHEMA = StructType(
 
 # Merges applied inside a query as nested built-in replaces; a longer backlog is written out.
 _INLINE_MERGES = 48
+_CHUNK = 256
 
 
 def corpus_lines(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -82,10 +82,28 @@ def word_counts(units: DataFrame, text: str = "line") -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def symbol_pairs(words: DataFrame) -> DataFrame:
+    """Every adjacent pair of symbols of a (symbols, n) table, as two-character strings.
+
+    A word is first cut into chunks that share their end symbol, so finding the i-th pair is
+    cheap in a long word too, and both steps stay inside generated code.
+    """
+    chunks = words.select(
+        F.explode(
+            F.sequence(F.lit(1), F.greatest(F.length("symbols") - 1, F.lit(1)), F.lit(_CHUNK - 1))
+        ).alias("start"),
+        "symbols",
+        "n",
+    ).select(F.substring("symbols", F.col("start"), F.lit(_CHUNK)).alias("chunk"), "n")
+    pairs = chunks.select(
+        F.explode(F.sequence(F.lit(1), F.greatest(F.length("chunk") - 1, F.lit(1)))).alias("at"), "chunk", "n"
+    ).select(F.substring("chunk", F.col("at"), F.lit(2)).alias("pair"), "n")
+    return pairs.where(F.length("pair") == 2)
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs over a (symbols, n) table, weighted by word count."""
-    pairs = words.select(F.explode(symbol_pairs(F.col("symbols"))).alias("pair"), "n")
-    return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
+    return symbol_pairs(words).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def top_pairs(counts: DataFrame, k: int, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
