@@ -52,6 +52,19 @@ def test_quotas_never_shuffle_the_data_when_cut(spark, small):
     assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
 
 
+def test_window_is_limited_before_its_shuffle(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plan = Q.stratified_take(docs, {"en": 50, "fr": 3}, "lang")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Partial") > plan.index("Final")
+
+
+def test_cut_pushes_strata_and_keys_to_the_scan(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    taken = Q.stratified_take(docs, {"en": 50, "fr": 3}, "lang", method="cut")
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(doc_id," in plan and "In(lang, [en,fr])" in plan
+
+
 def test_group_quotas_cut_remainders():
     rows = Q.group_quotas(5_000, Q.vocabulary_groups())
     assert rows[0] == ("english", "en", 1750)

@@ -97,12 +97,33 @@ def test_failed_runs_are_retried(spark, codec, tmp_path, monkeypatch):
 
     monkeypatch.setattr(I, "write_batch", flaky)
     assert I.run_ingest(I.stream_files(spark, source, SCHEMA), codec, out) == 2
+    assert I.totals_before(spark, out, 1).first().retry_count == 2
     assert I.read_records(spark, out).count() == 4
     calls.clear()
     monkeypatch.setattr(I, "write_batch", lambda *a: (_ for _ in ()).throw(RuntimeError("down")))
     add(spark, source, rows(4, 1))
     with pytest.raises(Exception):
         I.run_ingest(I.stream_files(spark, source, SCHEMA), codec, out, retries=1)
+    state = L.latest(I.read_ledger(spark, out).drop("batch_id")).collect()
+    assert [(r.failed, r.retry_count, r.total_samples_processed) for r in state] == [(True, 1, 4)]
+    assert "down" in state[0].error_message or "FOREACH" in state[0].error_message
+    monkeypatch.setattr(I, "write_batch", real)
+    I.run_ingest(I.stream_files(spark, source, SCHEMA), codec, out, I.IngestOptions(complete=True))
+    state = L.latest(I.read_ledger(spark, out).drop("batch_id")).collect()
+    assert [(r.completed, r.failed, r.error_message, r.total_samples_processed) for r in state] == [(True, False, None, 5)]
+    work = spark.createDataFrame([("phase1", "d", None)], "phase string, dataset_name string, subset string")
+    assert L.unfinished(work, I.read_ledger(spark, out).drop("batch_id")).count() == 0
+    assert I.read_records(spark, out).count() == 5
+
+
+def test_a_stream_that_never_starts_is_reported(spark, codec, tmp_path, monkeypatch):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    add(spark, source, rows(0, 1))
+    monkeypatch.setattr(I, "write_batch", lambda *a: (_ for _ in ()).throw(RuntimeError("down")))
+    with pytest.raises(Exception):
+        I.run_ingest(I.stream_files(spark, source, SCHEMA), codec, out, retries=0)
+    failed = L.failures(L.latest(I.read_ledger(spark, out).drop("batch_id"))).first()
+    assert failed.dataset_name == "Unknown"
 
 
 def test_watch_shows_the_newest_state(spark, tmp_path):

@@ -1,10 +1,10 @@
 """Quotas and the takes that fill them.
 
 A take keeps the first rows of each stratum in the order of a unique numeric key. Small quotas
-use a ranking window that Spark limits before its shuffle. Large ones use a *histogram cut*:
-key ranges are counted per stratum, the range in which the quota runs out is split again until
-it is small, and the key at which each stratum ends is looked up there. The rows are then one
-filtered scan: no sort and no shuffle of the data, however large a stratum is.
+over few files use a ranking window that Spark limits before its shuffle. All others use a
+*histogram cut*: key ranges are counted per stratum, the range in which the quota runs out is
+split again until it is small, and the key at which each stratum ends is looked up there. The
+rows are then one filtered scan: no sort and no shuffle of the data, however large a stratum is.
 """
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ ENGLISH_RATIO, INDIC_RATIO, CODE_RATIO = 0.35, 0.55, 0.10
 
 # Spark limits a ranking window before the shuffle up to this rank by default.
 WINDOW_LIMIT = 1_000
+# Each input task sends up to a quota of rows per stratum to the window, so it is for few files.
+WINDOW_FILES = 16
+# Up to this many strata are also named in a plain filter, for partition pruning and pushdown.
+_NAMED_STRATA = 1_000
 # More strata than this are not gathered; the window is used instead.
 MAX_STRATA = 100_000
 _RANGES = 1_024
@@ -88,6 +92,11 @@ def _per_stratum(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return F.broadcast(table) if len(rows) <= MAX_STRATA else table
 
 
+def _only(df: DataFrame, strata: Sequence[str], stratum: str) -> DataFrame:
+    """Drop other strata early, where the scan can skip them."""
+    return df.where(F.col(stratum).isin(list(strata))) if len(strata) <= _NAMED_STRATA else df
+
+
 def _window_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     order = Window.partitionBy(stratum).orderBy(key)
     plan = _per_stratum(df.sparkSession, list(quotas.items()), f"`{stratum}` string, _quota bigint")
@@ -128,7 +137,15 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
     """
     spark = df.sparkSession
     wanted = _per_stratum(spark, [(s,) for s in quotas], "s string")
-    keyed = df.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k")).join(wanted, "s")
+    named = _only(df, list(quotas), stratum)
+    keyed = named.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k")).join(wanted, "s")
+
+    def inside(spans: DataFrame, open_spans: dict[str, _Open]) -> DataFrame:
+        # The outer bounds are plain values, so that sorted files are skipped.
+        low, high = min(o.low for o in open_spans.values()), max(o.high for o in open_spans.values())
+        near = keyed.where(F.col("k").between(low, high)).join(spans, "s")
+        return near.where(F.col("k").between(F.col("lo"), F.col("hi")))
+
     bounds = keyed.groupBy("s").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n"))
     cuts: dict[str, int | None] = {s: None for s in quotas}
     open_strata: dict[str, _Open] = {}
@@ -144,8 +161,7 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
             [(s, o.low, o.high, o.left, Decimal(o.width)) for s, o in open_strata.items()],
             "s string, lo bigint, hi bigint, left bigint, width decimal(20,0)",
         )
-        inside = keyed.join(spans, "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
-        histogram = inside.groupBy(
+        histogram = inside(spans, open_strata).groupBy(
             "s", "left", _range_of("k", "lo", "width").alias("range")
         ).agg(F.count(F.lit(1)).alias("n"))
         running = F.sum("n").over(
@@ -170,9 +186,8 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
             [(s, o.low, o.high, o.left) for s, o in small.items()],
             "s string, lo bigint, hi bigint, left bigint",
         )
-        inside = keyed.join(spans, "s").where(F.col("k").between(F.col("lo"), F.col("hi")))
         rank = F.row_number().over(Window.partitionBy("s").orderBy("k"))
-        ends = inside.withColumn("rank", rank).where(F.col("rank") == F.col("left")).select("s", "k")
+        ends = inside(spans, small).withColumn("rank", rank).where(F.col("rank") == F.col("left")).select("s", "k")
         cuts.update({r.s: r.k for r in ends.collect()})
     return cuts
 
@@ -181,8 +196,11 @@ def _cut_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) ->
     spark = df.sparkSession
     cuts = cut_keys(df, quotas, stratum, key)
     table = _per_stratum(spark, list(cuts.items()), f"`{stratum}` string, _last bigint")
+    kept = _only(df, [s for s, q in quotas.items() if q > 0], stratum)
+    if cuts and None not in cuts.values():
+        kept = kept.where(F.col(key) <= max(cuts.values()))
     return (
-        df.join(table, stratum)
+        kept.join(table, stratum)
         .where(F.col("_last").isNull() | (F.col(key) <= F.col("_last")))
         .select(*df.columns)
     )
@@ -198,13 +216,14 @@ def stratified_take(
     """The first ``quotas[s]`` rows of each stratum ``s`` by a unique numeric key.
 
     Strata without a quota are dropped. ``method`` is ``window``, ``cut`` or ``auto``, which cuts
-    when a quota is above what Spark can limit before the shuffle.
+    unless the quotas are small and the table has few files.
     """
     if method not in ("auto", "window", "cut"):
         raise ValueError(f"unknown method: {method}")
     top = max(quotas.values(), default=0)
     if method == "auto":
-        method = "cut" if top > WINDOW_LIMIT and len(quotas) <= MAX_STRATA else "window"
+        few = top <= WINDOW_LIMIT and len(df.inputFiles()) <= WINDOW_FILES
+        method = "window" if few or len(quotas) > MAX_STRATA else "cut"
     if method == "cut":
         return _cut_take(df, quotas, stratum, key)
     return _window_take(df, quotas, stratum, key)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -18,8 +19,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from textloom.functions.text import MIN_CHARS, long_enough
 from textloom.functions.tokens import MAX_LENGTH, Codec
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records
-from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES
+from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES, latest
 from textloom.operators.quota import stratified_take
+from textloom.session import write_and_read
 from textloom.sources.catalog import marker_of
 from textloom.sources.sinks import write_records
 from textloom.sources.tables import filter_documents, spread
@@ -40,7 +42,11 @@ RECORD_SCHEMA = StructType(
 
 @dataclass
 class IngestOptions:
-    """What to ingest and how. ``max_samples`` is a quota per dataset over the whole stream."""
+    """What to ingest and how.
+
+    ``max_samples`` is a quota per dataset over the whole stream. ``complete`` marks all datasets
+    as completed when a run has taken in everything there is.
+    """
 
     phases: list[str] | None = None
     languages: list[str] | None = None
@@ -49,6 +55,7 @@ class IngestOptions:
     pad_to_max: bool = False
     markers: bool = False
     max_samples: int | None = None
+    complete: bool = False
 
 
 def stream_files(
@@ -119,8 +126,11 @@ def _within_quota(batch: DataFrame, totals: DataFrame, max_samples: int) -> Data
     return taken.drop("_stratum")
 
 
-def _new_totals(records: DataFrame, totals: DataFrame) -> DataFrame:
-    """Totals after a batch, with ``new_samples`` for the datasets the batch added to."""
+def _new_totals(records: DataFrame, totals: DataFrame, retries: int) -> DataFrame:
+    """Totals after a batch, with ``new_samples`` for the datasets the batch added to.
+
+    ``retries`` is how often the query was started again in this run.
+    """
     fresh = records.groupBy("phase", F.col("dataset").alias("dataset_name")).agg(
         F.count(F.lit(1)).alias("new_samples"), F.sum("length").alias("new_tokens")
     )
@@ -136,7 +146,7 @@ def _new_totals(records: DataFrame, totals: DataFrame) -> DataFrame:
         total("tokens", F.col("new_tokens")),
         total("files", F.when(F.col("new_samples").isNotNull(), 1)),
         F.coalesce("started_at", now).alias("started_at"),
-        total("retry_count", F.lit(0)),
+        F.greatest(F.coalesce("retry_count", F.lit(0)), F.lit(retries)).cast("bigint").alias("retry_count"),
         "new_samples",
     )
 
@@ -164,7 +174,9 @@ def _ledger_rows(totals: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, options: IngestOptions) -> None:
+def write_batch(
+    batch: DataFrame, batch_id: int, codec: Codec, output: str, options: IngestOptions, retries: int = 0
+) -> None:
     """Encode one micro-batch, write it with the totals so far, then commit it to the ledger."""
     spark = batch.sparkSession
     totals = totals_before(spark, output, batch_id)
@@ -183,11 +195,28 @@ def write_batch(batch: DataFrame, batch_id: int, codec: Codec, output: str, opti
     data_path, totals_path = f"{output}/data/batch_id={batch_id}", f"{output}/totals/batch_id={batch_id}"
     write_records(records, data_path)
     written = spark.read.schema(RECORD_SCHEMA).parquet(data_path)
-    _new_totals(written, totals).coalesce(1).write.mode("overwrite").parquet(totals_path)
+    _new_totals(written, totals, retries).coalesce(1).write.mode("overwrite").parquet(totals_path)
     after = spark.read.schema(StructType([*TOTALS_SCHEMA.fields, StructField("new_samples", LongType())])).parquet(totals_path)
     _ledger_rows(after, batch_id).coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={batch_id}")
 
 
+# Ledger rows that close a run go to directories that no batch uses.
+_FAILED_RUN, _COMPLETED_RUN = -1, -2
+
+
+def _close(spark: SparkSession, output: str, where: int, **values) -> None:
+    """Append a row per dataset with some fields set, newer than its newest commit."""
+    state = latest(read_ledger(spark, output).drop("batch_id"))
+    if state.isEmpty():
+        names = [f.name for f in LEDGER_SCHEMA]
+        unknown = tuple({"seq": 0, "op": "commit"}.get(n) for n in names)
+        state = spark.createDataFrame([unknown], LEDGER_SCHEMA)
+    fields = {name: F.lit(value).cast(LEDGER_SCHEMA[name].dataType) for name, value in values.items()}
+    rows = state.withColumns({**fields, "seq": F.col("seq") + 1})
+    staged = write_and_read(rows, "close")
+    staged.coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={where}")
+
+
 def run_ingest(
     documents: DataFrame,
     codec: Codec,
@@ -198,14 +227,17 @@ def run_ingest(
     """Ingest all that is available and stop; a later call goes on where this one ended.
 
     Spark retries tasks. A query that fails as a whole is started again up to ``retries`` times
-    from its checkpoint. Returns how often it was restarted.
+    from its checkpoint; after that its datasets are marked as failed and the error is raised.
+    Returns how often it was restarted.
     """
     options = options or IngestOptions()
+    spark = documents.sparkSession
     attempt = 0
     while True:
+        tried = attempt
         query = (
             documents.writeStream.foreachBatch(
-                lambda batch, batch_id: write_batch(batch, batch_id, codec, output, options)
+                lambda batch, batch_id: write_batch(batch, batch_id, codec, output, options, tried)
             )
             .option("checkpointLocation", f"{output}/checkpoint")
             .trigger(availableNow=True)
@@ -213,8 +245,13 @@ def run_ingest(
         )
         try:
             query.awaitTermination()
-            return attempt
-        except Exception:
+            break
+        except StreamingQueryException as error:
             if attempt >= retries:
+                message = str(error).splitlines()[0]
+                _close(spark, output, _FAILED_RUN, failed=True, error_message=message, retry_count=attempt)
                 raise
             attempt += 1
+    if options.complete:
+        _close(spark, output, _COMPLETED_RUN, completed=True, failed=False, error_message=None)
+    return attempt
