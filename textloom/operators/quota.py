@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from math import floor
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -86,9 +87,13 @@ def plan_table(spark: SparkSession, rows: Sequence[tuple[str, str, int]]) -> Dat
     return spark.createDataFrame(list(rows), PLAN_SCHEMA)
 
 
-def _per_stratum(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A table with one row per stratum; broadcast only while there are at most MAX_STRATA."""
-    table = spark.createDataFrame(rows, schema)
+def _per_stratum(spark: SparkSession, rows: list[tuple], **types: pa.DataType) -> DataFrame:
+    """A table with one row per stratum; broadcast only while there are at most MAX_STRATA.
+
+    Arrow makes it a local relation, so joining it costs no job of its own.
+    """
+    columns = {name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(types.items())}
+    table = spark.createDataFrame(pa.table(columns))
     return F.broadcast(table) if len(rows) <= MAX_STRATA else table
 
 
@@ -99,7 +104,9 @@ def _only(df: DataFrame, strata: Sequence[str], stratum: str) -> DataFrame:
 
 def _window_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     order = Window.partitionBy(stratum).orderBy(key)
-    plan = _per_stratum(df.sparkSession, list(quotas.items()), f"`{stratum}` string, _quota bigint")
+    plan = _per_stratum(
+        df.sparkSession, list(quotas.items()), **{stratum: pa.string(), "_quota": pa.int64()}
+    )
     ranked = df.withColumn("_rank", F.row_number().over(order))
     ranked = ranked.where(F.col("_rank") <= max(quotas.values(), default=0))
     return ranked.join(plan, stratum).where(F.col("_rank") <= F.col("_quota")).select(*df.columns)
@@ -136,9 +143,10 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
     strata times ``_RANGES`` and by ``_SMALL_RANGE`` keys for each stratum in the last step.
     """
     spark = df.sparkSession
-    wanted = _per_stratum(spark, [(s,) for s in quotas], "s string")
     named = _only(df, list(quotas), stratum)
-    keyed = named.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k")).join(wanted, "s")
+    keyed = named.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k"))
+    if len(quotas) > _NAMED_STRATA:
+        keyed = keyed.join(_per_stratum(spark, [(s,) for s in quotas], s=pa.string()), "s")
 
     def inside(spans: DataFrame, open_spans: dict[str, _Open]) -> DataFrame:
         # The outer bounds are plain values, so that sorted files are skipped.
@@ -149,17 +157,22 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
     bounds = keyed.groupBy("s").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n"))
     cuts: dict[str, int | None] = {s: None for s in quotas}
     open_strata: dict[str, _Open] = {}
+    small: dict[str, _Open] = {}
     for row in bounds.collect():
         if quotas[row.s] <= 0:
             cuts[row.s] = row.lo - 1
         elif quotas[row.s] < row.n:
-            open_strata[row.s] = _Open(row.lo, row.hi, quotas[row.s])
-    small: dict[str, _Open] = {}
+            waiting = small if row.n <= _SMALL_RANGE else open_strata
+            waiting[row.s] = _Open(row.lo, row.hi, quotas[row.s])
     while open_strata:
         spans = _per_stratum(
             spark,
             [(s, o.low, o.high, o.left, Decimal(o.width)) for s, o in open_strata.items()],
-            "s string, lo bigint, hi bigint, left bigint, width decimal(20,0)",
+            s=pa.string(),
+            lo=pa.int64(),
+            hi=pa.int64(),
+            left=pa.int64(),
+            width=pa.decimal128(20, 0),
         )
         histogram = inside(spans, open_strata).groupBy(
             "s", "left", _range_of("k", "lo", "width").alias("range")
@@ -184,7 +197,10 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
         spans = _per_stratum(
             spark,
             [(s, o.low, o.high, o.left) for s, o in small.items()],
-            "s string, lo bigint, hi bigint, left bigint",
+            s=pa.string(),
+            lo=pa.int64(),
+            hi=pa.int64(),
+            left=pa.int64(),
         )
         rank = F.row_number().over(Window.partitionBy("s").orderBy("k"))
         ends = inside(spans, small).withColumn("rank", rank).where(F.col("rank") == F.col("left")).select("s", "k")
@@ -195,7 +211,7 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
 def _cut_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
     spark = df.sparkSession
     cuts = cut_keys(df, quotas, stratum, key)
-    table = _per_stratum(spark, list(cuts.items()), f"`{stratum}` string, _last bigint")
+    table = _per_stratum(spark, list(cuts.items()), **{stratum: pa.string(), "_last": pa.int64()})
     kept = _only(df, [s for s, q in quotas.items() if q > 0], stratum)
     if cuts and None not in cuts.values():
         kept = kept.where(F.col(key) <= max(cuts.values()))
