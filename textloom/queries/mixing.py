@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from textloom.functions.text import MIN_CHARS
 from textloom.operators.quota import (
