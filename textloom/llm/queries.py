@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import sharding, url_filter
+from textloom.llm import fingerprints, sharding, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op4_simhash")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 @query("op5_sharding")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf, "documents"), shards=24)
@@ -76,3 +81,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url")
     out = url_filter.filter_urls(pages, URL_RULES, url_filter.insecure_hosts(pages))
     return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf, "documents"))
