@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import fingerprints, sharding, simhash, url_filter
+from textloom.llm import fingerprints, pieces, sharding, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +86,13 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf, "documents"))
+
+
+# Share of merge candidates that are skipped, and the key of the hash that skips them.
+DROPOUT, DROPOUT_SEED = 0.1, 2024
+
+
+@query("op9_pieces")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pieces.digest(pieces.encode_documents(docs, dropout=DROPOUT, seed=DROPOUT_SEED))
