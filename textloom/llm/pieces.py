@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
@@ -335,7 +336,7 @@ def encode_documents(
     columns are kept, one called ids is replaced, and repeated rows stay repeated.
     """
     docs = docs.drop("ids", "_key").withColumn("_key", F.xxhash64(F.col(id_col).cast("string")))
-    schema = docs.drop("_key").schema.add("ids", "array<int>")
+    schema = StructType([*docs.drop("_key").schema.fields, StructField("ids", ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, dropout, seed)
@@ -359,7 +360,7 @@ def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids`` (null ids: the empty text)."""
     encoded = encoded.drop("decoded")
-    schema = encoded.schema.add("decoded", "string")
+    schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
