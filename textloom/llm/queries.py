@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import fingerprints, pieces, sharding, simhash, url_filter
+from textloom.llm import fingerprints, pieces, secrets, sharding, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op2_secrets")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(table(spark, sf, "documents"))
+
+
 @query("op4_simhash")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
