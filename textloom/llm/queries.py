@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import fingerprints, pieces, secrets, sharding, simhash, url_filter
+from textloom.llm import fingerprints, pieces, secrets, sharding, simhash, toxicity, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,19 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf, "documents"), shards=24)
 
 
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 # The rules of the contract.
 URL_RULES = {
     "net/": "block",
