@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import fingerprints, pieces, secrets, sharding, simhash, toxicity, url_filter
+from textloom.llm import (
+    fingerprints,
+    mixing,
+    pieces,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +43,73 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.digest(table(spark, sf, "documents"))
 
 
+# The mix: a domain holds five neighbouring sources; sources of a language weigh the same.
+DOMAINS = ("web", "news", "books", "forum")
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {
+    "domain": {"web": 0.4, "news": 0.25, "books": 0.2, "forum": 0.15},
+    "lang": {"en": 0.4, "de": 0.25, "fr": 0.25, "es": 0.1},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 7
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """``domain`` by the number at the end of ``source``; without one, "other"."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), r"(\d{1,4})$", 1)
+    at = F.expr("try_cast(_number AS INT)")
+    domain = F.coalesce(F.get(F.array(*map(F.lit, DOMAINS)), (at / 5).cast("int")), F.lit("other"))
+    return docs.withColumn("_number", number).withColumn("domain", domain).drop("_number")
+
+
+def _share_sql(step: str, before: str, parent: str, name: str, weights: dict[str, float]) -> str:
+    """One level of the budget tree: the closed form of the shares."""
+    weight = " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items())
+    weight = f"CASE {name} {weight} ELSE 1.0 END::DOUBLE" if weights else "1.0::DOUBLE"
+    by = f"PARTITION BY {parent}" if parent else ""
+    keys = f"{parent}, {name}" if parent else name
+    same = " AND ".join(f"b.{k} IS NOT DISTINCT FROM s.{k}" for k in keys.split(", "))
+    return f"""
+{step}n AS (SELECT {keys}, sum(supply) AS supply, {weight} AS weight, max(above) AS above
+  FROM {before} GROUP BY {keys}),
+{step}l AS (SELECT *, (above - coalesce(sum(supply) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
+  FROM {step}n WINDOW o AS ({by} ORDER BY supply / weight, {name})),
+{step}s AS (SELECT {keys}, least(supply::DOUBLE, weight * max(lev) OVER ({by})) AS budget FROM {step}l),
+{step} AS (SELECT b.* EXCLUDE (above), s.budget AS above FROM {before} b JOIN {step}s s ON {same})"""
+
+
+MIX_SQL = f"""
+WITH d AS (SELECT doc_id,
+    coalesce(CASE try_cast(regexp_extract(coalesce(source, ''), '(\\d{{1,4}})$', 1) AS INT) // 5
+      WHEN 0 THEN 'web' WHEN 1 THEN 'news' WHEN 2 THEN 'books' WHEN 3 THEN 'forum' END, 'other') AS domain,
+    lang, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens
+  FROM documents),
+leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens FROM d GROUP BY ALL),
+live AS (SELECT *, tokens * {MIX_EPOCHS} AS supply,
+    least({MIX_SHARE} * (SELECT sum(tokens) FROM leaf), {MIX_EPOCHS} * (SELECT sum(tokens) FROM leaf))::DOUBLE
+      AS above FROM leaf WHERE tokens > 0),
+{_share_sql("t1", "live", "", "domain", MIX_WEIGHTS["domain"])},
+{_share_sql("t2", "t1", "domain", "lang", MIX_WEIGHTS["lang"])},
+{_share_sql("t3", "t2", "domain, lang", "source", {})},
+plan AS (SELECT domain, lang, source, tokens AS whole, floor(above + 1e-6)::BIGINT AS budget FROM t3),
+keyed AS (SELECT d.*, coalesce(p.budget, 0) AS budget, coalesce(p.budget // p.whole, 0) AS epoch,
+    coalesce(p.budget % p.whole, 0) AS lft
+  FROM d LEFT JOIN plan p ON d.domain = p.domain AND d.lang IS NOT DISTINCT FROM p.lang
+    AND d.source IS NOT DISTINCT FROM p.source),
+summed AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5(concat_ws(':', '{MIX_SEED}', epoch, doc_id)), tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM keyed)
+SELECT doc_id, domain, lang, source, tokens, budget,
+  CASE WHEN budget > 0 THEN epoch + (upto <= lft)::INT ELSE 0 END::INT AS copies
+FROM summed"""
+
+
+@query("op3_mixing", MIX_SQL)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = with_domain(table(spark, sf, "documents"))
+    return mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
 @query("op4_simhash")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
