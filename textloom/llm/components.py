@@ -1,7 +1,9 @@
-"""Connected components of a link table, as Spark jobs that alternate two star contractions."""
+"""Connected components: of a link table, as Spark jobs that alternate two star contractions, and of
+the links found within one task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,3 +63,18 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def merge_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least reachable position of each, after the links (a, b) are added."""
+    while len(a):
+        ra, rb = root[a], root[b]
+        open_ = ra != rb
+        if not open_.any():
+            break
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+    return root

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
+    embeddings,
     fingerprints,
     mixing,
     pieces,
@@ -38,6 +39,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_embeddings")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
 @query("op2_secrets")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.digest(table(spark, sf, "documents"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.components import components
+from textloom.llm.components import components, merge_roots
 from textloom.llm.words import shingle_hashes
 from textloom.session import write_and_read
 
@@ -88,26 +88,11 @@ def cell_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             a, b = np.meshgrid(np.arange(start, stop), np.arange(left, right), indexing="ij")
             keep = a < b
             a, b = _near(fps, table, a[keep], b[keep])
-            root = _merge(root, a, b)
+            root = merge_roots(root, a, b)
     linked = root != np.arange(n)
     return fps[linked], fps[root[linked]]
 
 
-def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least reachable position of each, after the links (a, b) are added."""
-    while len(a):
-        ra, rb = root[a], root[b]
-        open_ = ra != rb
-        if not open_.any():
-            break
-        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-        root = root.copy()
-        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-        while not np.array_equal(root, root[root]):
-            root = root[root]
-    return root
-
-
 def _cells_to_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column(0)
