@@ -15,6 +15,7 @@ from textloom.llm import (
     secrets,
     sharding,
     simhash,
+    suffixes,
     toxicity,
     url_filter,
 )
@@ -196,3 +197,9 @@ DROPOUT, DROPOUT_SEED = 0.1, 2024
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return pieces.digest(pieces.encode_documents(docs, dropout=DROPOUT, seed=DROPOUT_SEED))
+
+
+@query("op8_suffixes")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs, texts=False).drop("kept")
