@@ -30,7 +30,7 @@ def test_cut_equals_window_equals_brute_force(spark, spread, monkeypatch):
     quotas = {"a": 900, "b": 10_000, "c": 5, "d": 7, "e": 0, "b2": 3}
     df = frame(spark, rows)
     expected = brute(rows, quotas)
-    for method in ("cut", "window", "auto"):
+    for method in ("cut", "window"):
         got = sorted(r.doc_id for r in Q.stratified_take(df, quotas, method=method).collect())
         assert got == expected, method
 
@@ -54,7 +54,7 @@ def test_quotas_never_shuffle_the_data_when_cut(spark, small):
 
 def test_window_is_limited_before_its_shuffle(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    plan = Q.stratified_take(docs, {"en": 50, "fr": 3}, "lang")._jdf.queryExecution().executedPlan().toString()
+    plan = Q.stratified_take(docs, {"en": 50, "fr": 3}, "lang", method="window")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Partial") > plan.index("Final")
 
 
@@ -117,3 +117,27 @@ def test_take_per_dataset(spark):
     df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(30)], "doc_id bigint, dataset string")
     kept = Q.take_per_dataset(df, 4).groupBy("dataset").count().collect()
     assert {r.dataset: r["count"] for r in kept} == {"a": 4, "b": 4}
+
+
+def test_ties_and_nulls_have_a_place(spark, monkeypatch):
+    """Both methods take the same rows of a total order, and never more than a quota."""
+    monkeypatch.setattr(Q, "_SMALL_RANGE", 4)
+    monkeypatch.setattr(Q, "_RANGES", 4)
+    rng = random.Random(9)
+    rows = [(rng.choice([1, 2, 2, 2, 3, None]), rng.choice(["a", "b", None]), rng.randint(0, 3)) for _ in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, stratum string, v int")
+    counts = {s: sum(r[1] == s for r in rows) for s in ("a", "b", None)}
+    for quota in (0, 1, 7, 20, 33, 60, 200):
+        cut = sorted(map(str, Q.stratified_take(df, {s: quota for s in counts}, method="cut").collect()))
+        window = sorted(map(str, Q.stratified_take(df, {s: quota for s in counts}, method="window").collect()))
+        assert cut == window and len(cut) == sum(min(quota, n) for n in counts.values())
+    kept = Q.stratified_take(df, {None: 5}).collect()
+    first = sorted((r[0] is None, r[0] or 0) for r in rows if r[1] is None)[:5]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == first
+
+
+def test_null_dataset_is_one_of_them_at_any_number(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 7, ("a", "b", None)[i % 3]) for i in range(30)], "doc_id bigint, dataset string")
+    few = sorted(map(str, Q.take_per_dataset(df, 4).collect()))
+    monkeypatch.setattr(Q, "MAX_STRATA", 0)
+    assert few == sorted(map(str, Q.take_per_dataset(df, 4).collect())) and len(few) == 12

@@ -123,7 +123,33 @@ def test_a_stream_that_never_starts_is_reported(spark, codec, tmp_path, monkeypa
     with pytest.raises(Exception):
         I.run_ingest(I.stream_files(spark, source, SCHEMA), codec, out, retries=0)
     failed = L.failures(L.latest(I.read_ledger(spark, out).drop("batch_id"))).first()
-    assert failed.dataset_name == "Unknown"
+    assert failed.dataset_name == "d"
+
+
+def test_quotas_keep_null_names_and_never_overfill(spark, codec, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    text = "word " * 40
+    same = [(i % 4, text, "en", d, p) for i in range(24) for d, p in (("a", "phase1"), (None, "phase1"), ("b", None))]
+    for _ in range(2):
+        spark.createDataFrame(same, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    I.run_ingest(I.stream_files(spark, source, SCHEMA, files_per_batch=1), codec, out, I.IngestOptions(max_samples=30))
+    counts = {(r.phase, r.dataset): r["count"] for r in I.read_records(spark, out).groupBy("phase", "dataset").count().collect()}
+    assert counts == {("phase1", "a"): 30, ("phase1", None): 30, (None, "b"): 30}
+
+
+def test_lost_totals_are_an_error(spark, tmp_path):
+    assert I.totals_before(spark, str(tmp_path), 0).count() == 0
+    with pytest.raises(FileNotFoundError):
+        I.totals_before(spark, str(tmp_path), 7)
+
+
+def test_unknown_phases_are_an_error():
+    from textloom.sources.tables import phase_names
+
+    assert phase_names(["phase1"]) == ["phase1", "phase1_pretraining"]
+    assert phase_names(["phase2_instruction"]) == ["phase2_instruction"]
+    with pytest.raises(ValueError):
+        phase_names(["phase9"])
 
 
 def test_watch_shows_the_newest_state(spark, tmp_path):

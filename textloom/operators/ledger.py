@@ -56,12 +56,14 @@ def checkpoint_key() -> Column:
 
 
 def latest(ledger: DataFrame) -> DataFrame:
-    """Newest row of each key, deleted keys left out. One hash aggregate with map-side combine."""
-    rest = [c for c in ledger.columns if c not in KEY]
-    newest = ledger.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "seq").alias("state"))
-    return (
-        newest.select(*KEY, "state.*").where(F.col("op") != "delete").select(*ledger.columns)
-    )
+    """Newest row of each key, deleted keys left out; ``seq`` is unique within a key.
+
+    The newest ``seq`` is a hash aggregate with map-side combine, and the rows are joined back on it;
+    the key is one struct, which is never null and in which nulls are equal.
+    """
+    keyed = ledger.withColumn("_key", F.struct(*KEY))
+    newest = keyed.groupBy("_key").agg(F.max("seq").alias("seq"))
+    return keyed.join(newest, ["_key", "seq"]).where(F.col("op") != "delete").select(*ledger.columns)
 
 
 def with_defaults(state: DataFrame) -> DataFrame:

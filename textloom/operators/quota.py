@@ -1,10 +1,10 @@
 """Quotas and the takes that fill them.
 
-A take keeps the first rows of each stratum in the order of a unique numeric key. Small quotas
-over few files use a ranking window that Spark limits before its shuffle. All others use a
-*histogram cut*: key ranges are counted per stratum, the range in which the quota runs out is
-split again until it is small, and the key at which each stratum ends is looked up there. The
+A take keeps the first rows of each stratum in the order of a numeric key and a tie-break, which is
+total. It is a *histogram cut*: key ranges are counted per stratum, the range in which the quota runs
+out is split again until it is small, and the key at which each stratum ends is looked up there. The
 rows are then one filtered scan: no sort and no shuffle of the data, however large a stratum is.
+Rows that share the last key are cut the same way by the tie-break.
 """
 
 from __future__ import annotations
@@ -30,13 +30,9 @@ CODE_LANGUAGES = ("python", "javascript", "html", "css")
 # Shares of the vocabulary corpus.
 ENGLISH_RATIO, INDIC_RATIO, CODE_RATIO = 0.35, 0.55, 0.10
 
-# Spark limits a ranking window before the shuffle up to this rank by default.
-WINDOW_LIMIT = 1_000
-# Each input task sends up to a quota of rows per stratum to the window, so it is for few files.
-WINDOW_FILES = 16
 # Up to this many strata are also named in a plain filter, for partition pruning and pushdown.
 _NAMED_STRATA = 1_000
-# More strata than this are not gathered; the window is used instead.
+# More strata than this are not gathered; a ranking window takes the same rows instead.
 MAX_STRATA = 100_000
 _RANGES = 1_024
 _SMALL_RANGE = 50_000
@@ -97,19 +93,40 @@ def _per_stratum(spark: SparkSession, rows: list[tuple], **types: pa.DataType) -
     return F.broadcast(table) if len(rows) <= MAX_STRATA else table
 
 
-def _only(df: DataFrame, strata: Sequence[str], stratum: str) -> DataFrame:
-    """Drop other strata early, where the scan can skip them."""
-    return df.where(F.col(stratum).isin(list(strata))) if len(strata) <= _NAMED_STRATA else df
+_LAST_KEY = 2**63 - 1
 
 
-def _window_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
-    order = Window.partitionBy(stratum).orderBy(key)
-    plan = _per_stratum(
-        df.sparkSession, list(quotas.items()), **{stratum: pa.string(), "_quota": pa.int64()}
-    )
-    ranked = df.withColumn("_rank", F.row_number().over(order))
-    ranked = ranked.where(F.col("_rank") <= max(quotas.values(), default=0))
-    return ranked.join(plan, stratum).where(F.col("_rank") <= F.col("_quota")).select(*df.columns)
+def _name(stratum: str | Sequence[str]) -> Column:
+    """One text for a stratum; nulls are names of their own."""
+    columns = [stratum] if isinstance(stratum, str) else list(stratum)
+    return F.to_json(F.struct(*columns)) if len(columns) > 1 else F.coalesce(F.concat(F.lit("="), columns[0]), F.lit(""))
+
+
+def stratum_name(*values: str | None) -> str:
+    """The text that a stratum has in a plan, for one value or for none."""
+    (value,) = values
+    return "" if value is None else f"={value}"
+
+
+def _place(key: str) -> Column:
+    """What rows are ordered by: the key, null after all others."""
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST_KEY))
+
+
+def _tie_break(df: DataFrame, key: str) -> Column:
+    """Orders rows of one key: a hash of all other columns, the same for equal rows only."""
+    others = sorted(f.name for f in df.schema.fields if f.name != key and f.dataType.typeName() != "map")
+    return F.xxhash64(*others) if others else F.lit(0).cast("bigint")
+
+
+def _window_take(
+    df: DataFrame, quotas: DataFrame, top: int, stratum: str | Sequence[str], key: str
+) -> DataFrame:
+    """The take by ranking; the same rows as the cut. ``quotas`` has (_s, _quota), ``top`` at most."""
+    order = Window.partitionBy("_s").orderBy(_place(key), _tie_break(df, key))
+    ranked = df.withColumn("_s", _name(stratum)).withColumn("_rank", F.row_number().over(order))
+    ranked = ranked.where(F.col("_rank") <= top)  # a plain bound, by which Spark limits the window
+    return ranked.join(quotas, "_s").where(F.col("_rank") <= F.col("_quota")).select(*df.columns)
 
 
 @dataclass
@@ -136,17 +153,21 @@ def _range_of(key: str, low: str, width: str) -> Column:
     return F.expr(f"cast((cast({key} as {wide}) - cast({low} as {wide})) div cast({width} as {wide}) as int)")
 
 
-def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> dict[str, int | None]:
-    """The last key that each stratum keeps; None when all of its rows fit the quota.
+@dataclass(frozen=True)
+class Cut:
+    """Where a stratum ends: its last key, and how many rows of that key it keeps (None: all)."""
+
+    last: int
+    room: int | None
+
 
-    Only the stratum and the key are read. What comes to the driver is bounded by the number of
-    strata times ``_RANGES`` and by ``_SMALL_RANGE`` keys for each stratum in the last step.
+def cut_keys(keyed: DataFrame, quotas: dict[str, int]) -> dict[str, Cut | None]:
+    """The end of each stratum of ``keyed`` (s text, k bigint); None when all of its rows fit.
+
+    What comes to the driver is bounded by the number of strata times ``_RANGES`` and by one row for
+    each stratum in the last step. A key that many rows share ends the search like any other.
     """
-    spark = df.sparkSession
-    named = _only(df, list(quotas), stratum)
-    keyed = named.select(F.col(stratum).alias("s"), F.col(key).cast("bigint").alias("k"))
-    if len(quotas) > _NAMED_STRATA:
-        keyed = keyed.join(_per_stratum(spark, [(s,) for s in quotas], s=pa.string()), "s")
+    spark = keyed.sparkSession
 
     def inside(spans: DataFrame, open_spans: dict[str, _Open]) -> DataFrame:
         # The outer bounds are plain values, so that sorted files are skipped.
@@ -155,15 +176,22 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
         return near.where(F.col("k").between(F.col("lo"), F.col("hi")))
 
     bounds = keyed.groupBy("s").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n"))
-    cuts: dict[str, int | None] = {s: None for s in quotas}
+    bounds = bounds.join(_per_stratum(spark, [(s,) for s in quotas], s=pa.string()), "s")
+    cuts: dict[str, Cut | None] = {s: None for s in quotas}
     open_strata: dict[str, _Open] = {}
     small: dict[str, _Open] = {}
+
+    def wait(s: str, span: _Open, n: int) -> None:
+        if span.low == span.high:
+            cuts[s] = Cut(span.low, span.left)
+        else:
+            (small if n <= _SMALL_RANGE else open_strata)[s] = span
+
     for row in bounds.collect():
         if quotas[row.s] <= 0:
-            cuts[row.s] = row.lo - 1
+            cuts[row.s] = Cut(row.lo, 0)
         elif quotas[row.s] < row.n:
-            waiting = small if row.n <= _SMALL_RANGE else open_strata
-            waiting[row.s] = _Open(row.lo, row.hi, quotas[row.s])
+            wait(row.s, _Open(row.lo, row.hi, quotas[row.s]), row.n)
     while open_strata:
         spans = _per_stratum(
             spark,
@@ -188,11 +216,9 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
         for row in edge.collect():
             found = open_strata.pop(row.s).part(row["range"], row.left)
             if row.n == row.left:
-                cuts[row.s] = found.high
-            elif row.n <= _SMALL_RANGE:
-                small[row.s] = found
+                cuts[row.s] = Cut(found.high, None)
             else:
-                open_strata[row.s] = found
+                wait(row.s, found, row.n)
     if small:
         spans = _per_stratum(
             spark,
@@ -202,56 +228,112 @@ def cut_keys(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> d
             hi=pa.int64(),
             left=pa.int64(),
         )
-        rank = F.row_number().over(Window.partitionBy("s").orderBy("k"))
-        ends = inside(spans, small).withColumn("rank", rank).where(F.col("rank") == F.col("left")).select("s", "k")
-        cuts.update({r.s: r.k for r in ends.collect()})
+        counted = inside(spans, small).groupBy("s", "left", "k").agg(F.count(F.lit(1)).alias("n"))
+        running = F.sum("n").over(
+            Window.partitionBy("s").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+        )
+        before = F.col("upto") - F.col("n")
+        ends = (
+            counted.withColumn("upto", running)
+            .where((F.col("upto") >= F.col("left")) & (before < F.col("left")))
+            .select("s", "k", (F.col("left") - before).alias("room"), "n")
+        )
+        cuts.update({r.s: Cut(r.k, None if r.room == r.n else r.room) for r in ends.collect()})
     return cuts
 
 
-def _cut_take(df: DataFrame, quotas: dict[str, int], stratum: str, key: str) -> DataFrame:
+def _cut_take(df: DataFrame, quotas: dict[str, int], stratum: str | Sequence[str], key: str) -> DataFrame:
+    """Rows before each stratum's last key, and of the rows at that key the first by tie-break.
+
+    Ties are cut by the same search over the tie-break. Only rows that are equal in every column
+    are told apart by a ranking window.
+    """
     spark = df.sparkSession
-    cuts = cut_keys(df, quotas, stratum, key)
-    table = _per_stratum(spark, list(cuts.items()), **{stratum: pa.string(), "_last": pa.int64()})
-    kept = _only(df, [s for s, q in quotas.items() if q > 0], stratum)
-    if cuts and None not in cuts.values():
-        kept = kept.where(F.col(key) <= max(cuts.values()))
-    return (
-        kept.join(table, stratum)
-        .where(F.col("_last").isNull() | (F.col(key) <= F.col("_last")))
-        .select(*df.columns)
-    )
+    named = df.withColumns({"_s": _name(stratum), "_k": _place(key)})
+    cuts = cut_keys(named.select(F.col("_s").alias("s"), F.col("_k").alias("k")), quotas)
+    names = {s[1:] for s in quotas if s[:1] == "="}
+    if isinstance(stratum, str) and "" not in quotas and len(names) <= _NAMED_STRATA:
+        # Other strata go early, where the scan can skip them.
+        named = named.where(F.col(stratum).isin([s[1:] for s, q in quotas.items() if q > 0]))
+    if cuts and None not in cuts.values() and max(c.last for c in cuts.values()) < _LAST_KEY:
+        named = named.where(F.col(key) <= max(c.last for c in cuts.values()))
+    ends = [(s, *((c.last, c.room) if c else (None, None))) for s, c in cuts.items()]
+    table = _per_stratum(spark, ends, _s=pa.string(), _last=pa.int64(), _room=pa.int64())
+    joined = named.join(table, "_s")
+    whole = F.col("_last").isNull() | (F.col("_k") < F.col("_last"))
+    whole = whole | ((F.col("_k") == F.col("_last")) & F.col("_room").isNull())
+    kept = joined.where(whole).select(*df.columns)
+    rooms = {s: c.room for s, c in cuts.items() if c is not None and c.room}
+    if not rooms:
+        return kept
+    keys = {s: cuts[s].last for s in rooms}
+    ties = _per_stratum(spark, list(keys.items()), _s=pa.string(), _last=pa.int64())
+    tied = named.where(F.col("_k").between(min(keys.values()), max(keys.values()))).join(ties, "_s")
+    tied = tied.where(F.col("_k") == F.col("_last")).withColumn("_tie", _tie_break(df, key))
+    inner = cut_keys(tied.select(F.col("_s").alias("s"), F.col("_tie").alias("k")), rooms)
+    ends = [(s, *((c.last, c.room) if c else (None, None))) for s, c in inner.items()]
+    table = _per_stratum(spark, ends, _s=pa.string(), _end=pa.int64(), _left=pa.int64())
+    tied = tied.join(table, "_s").where("_end IS NULL OR _tie <= _end")
+    kept = kept.unionByName(tied.where("_end IS NULL OR _tie < _end OR _left IS NULL").select(*df.columns))
+    if any(c is not None and c.room for c in inner.values()):
+        order = Window.partitionBy("_s").orderBy("_tie")
+        equal = tied.where("_tie = _end AND _left IS NOT NULL").withColumn("_rank", F.row_number().over(order))
+        kept = kept.unionByName(equal.where("_rank <= _left").select(*df.columns))
+    return kept
 
 
 def stratified_take(
     df: DataFrame,
-    quotas: dict[str, int],
+    quotas: dict[str | None, int],
     stratum: str = "stratum",
     key: str = "doc_id",
-    method: str = "auto",
+    method: str = "cut",
 ) -> DataFrame:
-    """The first ``quotas[s]`` rows of each stratum ``s`` by a unique numeric key.
+    """The first ``quotas[s]`` rows of each stratum ``s`` by a numeric key.
 
-    Strata without a quota are dropped. ``method`` is ``window``, ``cut`` or ``auto``, which cuts
-    unless the quotas are small and the table has few files.
+    The order is total: null keys come last, rows of one key follow by a hash of their other columns.
+    None names the stratum of nulls; strata without a quota are dropped. ``method`` is ``cut`` or
+    ``window``, a ranking that Spark can limit before its shuffle; both take the same rows.
     """
-    if method not in ("auto", "window", "cut"):
-        raise ValueError(f"unknown method: {method}")
-    top = max(quotas.values(), default=0)
-    if method == "auto":
-        few = top <= WINDOW_LIMIT and len(df.inputFiles()) <= WINDOW_FILES
-        method = "window" if few or len(quotas) > MAX_STRATA else "cut"
-    if method == "cut":
+    return _take(df, {stratum_name(s): q for s, q in quotas.items()}, stratum, key, method)
+
+
+def _take(
+    df: DataFrame, quotas: dict[str, int], stratum: str | Sequence[str], key: str, method: str
+) -> DataFrame:
+    if method == "cut" and len(quotas) <= MAX_STRATA:
         return _cut_take(df, quotas, stratum, key)
-    return _window_take(df, quotas, stratum, key)
+    if method not in ("cut", "window"):
+        raise ValueError(f"unknown method: {method}")
+    plan = _per_stratum(df.sparkSession, list(quotas.items()), _s=pa.string(), _quota=pa.int64())
+    return _window_take(df, plan, max(quotas.values(), default=0), stratum, key)
+
 
+def take_with_room(
+    df: DataFrame, room: DataFrame, stratum: Sequence[str], key: str = "doc_id"
+) -> DataFrame:
+    """A take whose quotas are a table: the stratum's columns and ``room`` (negative counts as 0).
+
+    Up to MAX_STRATA quotas are gathered for the cut; more stay a table and rows are ranked, which
+    takes the same rows.
+    """
+    named = room.select(_name(stratum).alias("_s"), F.greatest("room", F.lit(0)).alias("_quota"))
+    rows = named.limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        top = named.agg(F.max("_quota")).first()[0]
+        return _window_take(df, named, top, stratum, key)
+    return _cut_take(df, {r["_s"]: r["_quota"] for r in rows}, stratum, key)
 
-def take_per_dataset(df: DataFrame, max_samples: int, dataset: str = "dataset", key: str = "doc_id") -> DataFrame:
-    """At most ``max_samples`` rows per dataset. Dataset names come from the data."""
-    names = [r[0] for r in df.select(dataset).where(F.col(dataset).isNotNull()).distinct().limit(MAX_STRATA + 1).collect()]
-    if len(names) > MAX_STRATA:
-        order = Window.partitionBy(dataset).orderBy(key)
-        return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max_samples).drop("_rank")
-    return stratified_take(df, {n: max_samples for n in names}, dataset, key)
+
+def take_per_dataset(
+    df: DataFrame, max_samples: int = TEST_SAMPLES, dataset: str = "dataset", key: str = "doc_id"
+) -> DataFrame:
+    """At most ``max_samples`` rows per dataset, a null dataset being one of them.
+
+    Dataset names come from the data; the default is the limit of test mode.
+    """
+    room = df.select(dataset).distinct().withColumn("room", F.lit(max_samples).cast("bigint"))
+    return take_with_room(df, room, [dataset], key)
 
 
 def attainment(plan: DataFrame, taken: DataFrame, stratum: str = "stratum") -> DataFrame:

@@ -31,7 +31,7 @@ def build_corpus(
     key: str = "doc_id",
     min_chars: int = MIN_CHARS,
     length_col: str | None = None,
-    method: str = "auto",
+    method: str = "cut",
 ) -> DataFrame:
     """Category, stratum, key and stripped text of the documents that fill the quotas."""
     rows = group_quotas(total, groups)

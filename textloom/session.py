@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def local_session(cpus: int | str = 8, app: str = "textloom", memory: str = "16g") -> SparkSession:
-    """A local session for tests and timings. On a cluster use the session you are given."""
+    """A local session for tests and timings, with scratch tables in the temporary folder.
+
+    On a cluster use the session you are given.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -23,6 +23,7 @@ def local_session(cpus: int | str = 8, app: str = "textloom", memory: str = "16g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", f"{tempfile.gettempdir()}/textloom-scratch")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -32,22 +33,13 @@ def local_session(cpus: int | str = 8, app: str = "textloom", memory: str = "16g
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, else a folder below the warehouse.
 
     Executors can be lost at any time, so everything that cuts lineage is written here and read
-    back as a table. Only a local session may leave the setting out; it gets a folder of its own.
+    back as a table. On a cluster both settings name folders that all executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_ROOTS:
-        base = os.environ.get("TMPDIR", "/tmp")
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="textloom-", dir=base)
-    return _LOCAL_ROOTS[app]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

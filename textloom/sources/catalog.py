@@ -95,6 +95,11 @@ ROW_GROUP_ROWS = 10_000
 COMPRESSION = "snappy"
 
 
+def catalog_phases() -> list[str]:
+    """The phases of the catalogue, in order."""
+    return sorted({source[0] for source in SOURCES})
+
+
 def catalog(spark: SparkSession, sources=SOURCES) -> DataFrame:
     """The catalogue as a table, one row per dataset."""
     return spark.createDataFrame([tuple(r) for r in sources], CATALOG_SCHEMA)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from textloom.functions.text import text_or_empty
+from textloom.sources.catalog import catalog_phases
 
 DOCUMENT_SCHEMA = StructType(
     [
@@ -81,22 +82,43 @@ def as_documents(
     )
 
 
+def phase_names(phases: Sequence[str]) -> list[str]:
+    """Names that records of the phases may carry: ``phase1`` stands for itself and for the phase of
+    the catalogue that begins with it.
+
+    A name that is neither in the catalogue nor short for one of its phases is an error, since it
+    would select nothing without a word.
+    """
+    known = catalog_phases()
+    out = []
+    for name in phases:
+        found = [p for p in known if p == name or p.startswith(f"{name}_")]
+        if not found:
+            raise ValueError(f"unknown phase {name!r}; there are {', '.join(known)}")
+        out += sorted({name, *found})
+    return out
+
+
 def filter_documents(
     df: DataFrame, phases: Sequence[str] | None = None, languages: Sequence[str] | None = None
 ) -> DataFrame:
-    """Keep chosen phases and languages; none given means all."""
+    """Keep chosen phases and languages; none given means all. Phases may be short names."""
     if phases:
-        df = df.where(F.col("phase").isin(list(phases)))
+        df = df.where(F.col("phase").isin(phase_names(phases)))
     if languages:
         df = df.where(F.col("language").isin(list(languages)))
     return df
 
 
 def probe(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """First record of a source by key: its key, its text's length and the source's columns."""
-    first = df.agg(
-        F.min_by(F.length(F.coalesce(F.col(text), F.lit(""))), F.col(key)).alias("n_chars"), F.min(key).alias(key)
-    ).where(F.col(key).isNotNull())
+    """First record of a source by key: its key, its text's length and the source's columns.
+
+    The least key comes from the key column alone; the text is read where the scan finds that key.
+    """
+    least = df.agg(F.min(key)).first()[0]
+    length = F.length(F.coalesce(F.col(text), F.lit("")))
+    # Of several records with that key the longest text counts.
+    first = df.where(F.col(key) == F.lit(least)).groupBy(key).agg(F.max(length).alias("n_chars"))
     return first.select(key, "n_chars", F.lit(",".join(df.columns)).alias("fields"))
 
 
@@ -113,7 +135,7 @@ def try_open(name: str, opener: Opener) -> DataFrame | SourceError:
     """Open a source and touch its first record; a failure is returned, not raised."""
     try:
         df = opener()
-        df.limit(1).collect()
+        df.select(F.lit(1)).limit(1).collect()  # opens the first file, reads no column
         return df
     except (PySparkException, OSError, ValueError) as error:
         return SourceError(name, str(error).splitlines()[0])

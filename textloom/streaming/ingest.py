@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -20,7 +20,7 @@ from textloom.functions.text import MIN_CHARS, long_enough
 from textloom.functions.tokens import MAX_LENGTH, Codec
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records
 from textloom.operators.ledger import LEDGER_SCHEMA, MAX_RETRIES, latest
-from textloom.operators.quota import stratified_take
+from textloom.operators.quota import take_with_room
 from textloom.session import write_and_read
 from textloom.sources.catalog import marker_of
 from textloom.sources.sinks import write_records
@@ -110,20 +110,26 @@ def read_records(spark: SparkSession, output: str) -> DataFrame:
 
 
 def totals_before(spark: SparkSession, output: str, batch_id: int) -> DataFrame:
-    """Samples, tokens and files per (phase, dataset) when a batch starts."""
-    path = f"{output}/totals/batch_id={batch_id - 1}"
-    if batch_id == 0 or not _exists(spark, path):
+    """Samples, tokens and files per (phase, dataset) when a batch starts.
+
+    Every batch but the first needs the totals of the one before it: without them quotas would start
+    afresh, so their loss is an error.
+    """
+    if batch_id == 0:
         return spark.createDataFrame([], TOTALS_SCHEMA)
+    path = f"{output}/totals/batch_id={batch_id - 1}"
+    if not _exists(spark, path):
+        raise FileNotFoundError(f"batch {batch_id} needs the totals of the batch before it: {path}")
     return spark.read.schema(TOTALS_SCHEMA).parquet(path)
 
 
 def _within_quota(batch: DataFrame, totals: DataFrame, max_samples: int) -> DataFrame:
-    done = {(r.phase, r.dataset_name): r.samples for r in totals.collect()}
-    names = batch.select("phase", "dataset").distinct().collect()
-    room = {f"{r.phase}/{r.dataset}": max_samples - done.get((r.phase, r.dataset), 0) for r in names}
-    keyed = batch.withColumn("_stratum", F.concat_ws("/", "phase", "dataset"))
-    taken = stratified_take(keyed, {k: max(v, 0) for k, v in room.items()}, "_stratum", "doc_id")
-    return taken.drop("_stratum")
+    """The rows for which their (phase, dataset) still has room; nulls are names like any other."""
+    names = batch.select("phase", "dataset").distinct()
+    same = names["phase"].eqNullSafe(totals["phase"]) & names["dataset"].eqNullSafe(totals["dataset_name"])
+    room = F.lit(max_samples) - F.coalesce(totals["samples"], F.lit(0))
+    left = names.join(totals, same, "left").select(names["phase"], names["dataset"], room.alias("room"))
+    return take_with_room(batch, left, ["phase", "dataset"])
 
 
 def _new_totals(records: DataFrame, totals: DataFrame, retries: int) -> DataFrame:
@@ -139,9 +145,12 @@ def _new_totals(records: DataFrame, totals: DataFrame, retries: int) -> DataFram
         return (F.coalesce(F.col(name), F.lit(0)) + F.coalesce(added, F.lit(0))).cast("bigint").alias(name)
 
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return fresh.join(totals, ["phase", "dataset_name"], "full").select(
-        "phase",
-        "dataset_name",
+    before = totals.withColumnsRenamed({"phase": "_phase", "dataset_name": "_name"})
+    same = fresh["phase"].eqNullSafe(before["_phase"]) & fresh["dataset_name"].eqNullSafe(before["_name"])
+    # A row has one side or both; a null name stays null either way.
+    return fresh.join(before, same, "full").select(
+        F.coalesce("phase", "_phase").alias("phase"),
+        F.coalesce("dataset_name", "_name").alias("dataset_name"),
         total("samples", F.col("new_samples")),
         total("tokens", F.col("new_tokens")),
         total("files", F.when(F.col("new_samples").isNotNull(), 1)),
@@ -200,21 +209,39 @@ def write_batch(
     _ledger_rows(after, batch_id).coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={batch_id}")
 
 
-# Ledger rows that close a run go to directories that no batch uses.
-_FAILED_RUN, _COMPLETED_RUN = -1, -2
+# Ledger rows that close runs go to a directory that no batch uses.
+_CLOSED = -1
 
 
-def _close(spark: SparkSession, output: str, where: int, **values) -> None:
-    """Append a row per dataset with some fields set, newer than its newest commit."""
+# Names gathered from a batch that failed; more than these are marked by their earlier commits only.
+_MAX_NAMES = 10_000
+
+
+def _names_of(batch: DataFrame) -> list[tuple[str | None, str | None]]:
+    """Phases and datasets of a batch, as far as it can still be read."""
+    try:
+        rows = batch.select("phase", "dataset").distinct().limit(_MAX_NAMES).collect()
+    except PySparkException:
+        return []
+    return [(r.phase, r.dataset) for r in rows]
+
+
+def _close(spark: SparkSession, output: str, names: DataFrame, **values) -> None:
+    """Append a row with some fields set for each (phase, dataset_name) of ``names``, newer than its
+    newest commit; one that has none gets a first row."""
     state = latest(read_ledger(spark, output).drop("batch_id"))
-    if state.isEmpty():
-        names = [f.name for f in LEDGER_SCHEMA]
-        unknown = tuple({"seq": 0, "op": "commit"}.get(n) for n in names)
-        state = spark.createDataFrame([unknown], LEDGER_SCHEMA)
+    names = names.select(F.col("phase").alias("_phase"), F.col("dataset_name").alias("_name")).distinct()
+    same = state["phase"].eqNullSafe(names["_phase"]) & state["dataset_name"].eqNullSafe(names["_name"])
     fields = {name: F.lit(value).cast(LEDGER_SCHEMA[name].dataType) for name, value in values.items()}
-    rows = state.withColumns({**fields, "seq": F.col("seq") + 1})
+    fields |= {
+        "phase": F.col("_phase"),
+        "dataset_name": F.col("_name"),
+        "seq": F.coalesce(F.col("seq") + 1, F.lit(1)).cast("bigint"),
+        "op": F.coalesce("op", F.lit("commit")),
+    }
+    rows = names.join(state, same, "left").withColumns(fields).select(*LEDGER_SCHEMA.fieldNames())
     staged = write_and_read(rows, "close")
-    staged.coalesce(1).write.mode("overwrite").parquet(f"{output}/ledger/batch_id={where}")
+    staged.coalesce(1).write.mode("append").parquet(f"{output}/ledger/batch_id={_CLOSED}")
 
 
 def run_ingest(
@@ -227,18 +254,26 @@ def run_ingest(
     """Ingest all that is available and stop; a later call goes on where this one ended.
 
     Spark retries tasks. A query that fails as a whole is started again up to ``retries`` times
-    from its checkpoint; after that its datasets are marked as failed and the error is raised.
+    from its checkpoint; after that the datasets of the batch that failed are marked as failed and the
+    error is raised. Only what this run committed is marked as completed.
     Returns how often it was restarted.
     """
     options = options or IngestOptions()
     spark = documents.sparkSession
-    attempt = 0
+    attempt, batches = 0, set()
+    broken: list[tuple[str | None, str | None]] = []
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        try:
+            write_batch(batch, batch_id, codec, output, options, attempt)
+        except Exception:
+            broken[:] = _names_of(batch)
+            raise
+        batches.add(batch_id)
+
     while True:
-        tried = attempt
         query = (
-            documents.writeStream.foreachBatch(
-                lambda batch, batch_id: write_batch(batch, batch_id, codec, output, options, tried)
-            )
+            documents.writeStream.foreachBatch(take_in)
             .option("checkpointLocation", f"{output}/checkpoint")
             .trigger(availableNow=True)
             .start()
@@ -249,9 +284,11 @@ def run_ingest(
         except StreamingQueryException as error:
             if attempt >= retries:
                 message = str(error).splitlines()[0]
-                _close(spark, output, _FAILED_RUN, failed=True, error_message=message, retry_count=attempt)
+                names = spark.createDataFrame(broken or [(None, None)], "phase string, dataset_name string")
+                _close(spark, output, names, failed=True, error_message=message, retry_count=attempt)
                 raise
             attempt += 1
     if options.complete:
-        _close(spark, output, _COMPLETED_RUN, completed=True, failed=False, error_message=None)
+        ran = read_ledger(spark, output).where(F.col("batch_id").isin(sorted(batches)))
+        _close(spark, output, ran, completed=True, failed=False, error_message=None)
     return attempt
