@@ -34,16 +34,21 @@ from textloom.session import write_and_read
 
 LENGTH, CORE = 50, 20
 CHOICES = LENGTH - CORE + 1
-# Bytes hashed together, entries of a batch, and text bytes in a bucket or a group of documents.
-PIECE, BATCH = 1 << 20, 1 << 20
-PART_BYTES = 48 << 20
+# Bytes hashed together, text bytes of a batch, and of a bucket or a group of documents.
+PIECE, BATCH = 1 << 20, 6 << 20
+PART_BYTES = 8 << 20
 # Levels whose sizes differ by less than this factor are merged.
 LIKE = 2
 
 _RANDOM = np.random.default_rng(77)
 _BYTE = _RANDOM.integers(0, 1 << 64, (2, 256), np.uint64)
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files go when the query that made them ends, as every step is written to a table; texts and
+# blobs are large rows, so few of them are handed to Python at once.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @lru_cache(maxsize=2)
@@ -328,7 +333,7 @@ def _texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[
 def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Batches of entries, sorted and cut by core (kind 0), and runs repeated within a batch (kind 1)."""
     width = np.uint64((1 << 64) // buckets + 1)
-    for rows in _texts(batches, BATCH * 12):
+    for rows in _texts(batches, BATCH):
         stay, gone = settle(ordered(entries(rows)))
         out = [(part, 0, pack(c)) for part, c in _by_part(stay, (stay["core"] // width).astype(np.int64))]
         if len(gone["core"]):
@@ -562,14 +567,15 @@ def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.Recor
 
 
 @contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the query that made them ends, as every step is written to a table."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def _settings(spark: SparkSession) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", texts: bool = True) -> DataFrame:
@@ -593,7 +599,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", texts: bool = True)
         F.coalesce("text", F.lit("")).alias("text"),
     ).select("id", "doc", tag.cast("long").alias("tag"), F.col("text").cast("binary").alias("text"))
     blobs = "part int, kind int, blob binary"
-    with _shuffles_dropped(spark):
+    with _settings(spark):
         runs_found = write_and_read(
             rows.select("doc", "tag", "text")
             .mapInArrow(lambda b: _index(b, buckets), blobs)
