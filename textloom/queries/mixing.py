@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from textloom.functions.text import MIN_CHARS
 from textloom.operators.quota import (
@@ -59,6 +60,22 @@ def max_samples(spark, sf):
     return take_per_dataset(docs.select("doc_id", "dataset"), docs.count() // 40)
 
 
+@query(
+    "take_overlapping",
+    f"""WITH {SRC}, named AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'a' ELSE 'b' END AS dataset FROM src),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY doc_id) AS rn FROM named)
+SELECT dataset, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS keys FROM r
+WHERE rn <= (SELECT count(*) FROM src) // 5 GROUP BY dataset""",
+)
+def take_overlapping(spark, sf):
+    """Sources whose ids overlap, with a null dataset: no quota is overfilled and no row is lost."""
+    src = all_sources(spark, sf)
+    name = F.when(F.col("doc_id") % 3 == 1, "a").when(F.col("doc_id") % 3 == 2, "b")
+    named = src.select("doc_id", "text", name.alias("dataset"))
+    taken = take_per_dataset(named, src.count() // 5)
+    return taken.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("keys"))
+
+
 @query(
     "weighted_mix",
     f"""WITH {DOCS}, names AS (SELECT dataset, row_number() OVER (ORDER BY dataset) AS i FROM (SELECT DISTINCT dataset FROM docs)),

@@ -21,6 +21,7 @@ from textloom.queries.base import (
     sql_strip,
     spread_sources,
     sql_words,
+    TRIM_SET,
 )
 from textloom.session import fresh_path
 from textloom.sources.catalog import (
@@ -126,14 +127,43 @@ def document_lines(spark, sf):
     return documents(spark, sf).select("doc_id", F.explode(lines(F.col("text"))).alias("line"))
 
 
-@query("storage_inventory")
+def _text_files(spark, sf):
+    """The inventory of a text file for every dataset, a line for every document."""
+    path = fresh_path(spark, "texts")
+    line = F.translate("text", "\r\n", "  ").alias("line")
+    rows = documents(spark, sf).select("dataset", line)
+    rows.repartition("dataset").write.partitionBy("dataset").text(path)
+    return inventory(spark, path, "*.txt")
+
+
+# A file holds its lines and a line end for each.
+_FILES = f"""{DOCS}, files AS (SELECT 'dataset=' || dataset AS folder,
+  CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length FROM docs GROUP BY dataset)"""
+
+
+@query("storage_inventory", f"WITH {_FILES} SELECT folder, length FROM files")
 def storage_inventory(spark, sf):
-    return inventory(spark, sf).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    return _text_files(spark, sf).select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
+
+
+_UNITS = (("B", 0), ("KB", 1), ("MB", 2), ("GB", 3), ("TB", 4))
+
+
+def _sql_size(b: str) -> str:
+    whens = " ".join(
+        f"WHEN {b} < {float(1024 ** (p + 1))} THEN printf('%.2f {u}', {b} / {float(1024**p)})" for u, p in _UNITS
+    )
+    return f"CASE {whens} ELSE printf('%.2f PB', {b} / {float(1024**5)}) END"
 
 
-@query("storage_stats")
+@query(
+    "storage_stats",
+    f"""WITH {_FILES}, t AS (SELECT count(*) AS n_files, CAST(sum(length) AS BIGINT) AS total_bytes FROM files)
+SELECT n_files, total_bytes, CAST(total_bytes AS DOUBLE) / CAST(n_files AS DOUBLE) AS mean_bytes,
+  {_sql_size('CAST(total_bytes AS DOUBLE)')} AS total_size FROM t""",
+)
 def storage_stats(spark, sf):
-    return storage_totals(inventory(spark, sf)).select(
+    return storage_totals(_text_files(spark, sf)).select(
         "n_files", "total_bytes", "mean_bytes", format_size(F.col("total_bytes")).alias("total_size")
     )
 
@@ -182,7 +212,9 @@ def min_length_filter(spark, sf):
 
 @query("strip_text", f"SELECT doc_id, {sql_strip('text')} AS text FROM documents")
 def strip_text(spark, sf):
-    return documents(spark, sf).select("doc_id", strip(F.col("text")).alias("text"))
+    """Documents between blanks of every kind, which come off again."""
+    padded = F.concat(F.lit(TRIM_SET), F.col("text"), F.lit(TRIM_SET[::-1]))
+    return documents(spark, sf).select("doc_id", strip(padded).alias("text"))
 
 
 _MIXED = f"""{SRC}, mixed AS (SELECT doc_id, language, phase FROM src UNION ALL
@@ -246,17 +278,26 @@ def conversation_render(spark, sf):
     return joined.select("conv_id", "turns", F.array_join("parts.text", "").alias("text"))
 
 
+# Letters and their full-width forms, which NFKC turns back.
+_LETTERS = "".join(chr(c) for c in (*range(65, 91), *range(97, 123)))
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _LETTERS)
+
+
 @query(
     "nfkc",
-    f"""WITH {SRC} SELECT language, count(*) AS docs, CAST(sum(length(nfc_normalize(text))) AS BIGINT) AS chars,
-  count(*) FILTER (nfc_normalize(text) <> text) AS changed FROM src GROUP BY language""",
+    f"""WITH {SRC} SELECT language, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars,
+  count(*) AS restored, count(*) FILTER (regexp_matches(text, '[A-Za-z]')) AS changed FROM src GROUP BY language""",
 )
 def nfkc_query(spark, sf):
-    normal = spread_sources(spark, sf).select("language", "text", nfkc(F.col("text")).alias("normal"))
+    """Texts spelled with a ligature and full-width letters come back as they were."""
+    wide = F.translate(F.replace("text", F.lit("fi"), F.lit("\ufb01")), _LETTERS, _WIDE)
+    spelled = spread_sources(spark, sf).select("language", "text", wide.alias("wide"))
+    normal = spelled.withColumn("normal", nfkc(F.col("wide")))
     return normal.groupBy("language").agg(
         F.count(F.lit(1)).alias("docs"),
         F.sum(F.length("normal")).alias("chars"),
-        F.count_if(F.col("normal") != F.col("text")).alias("changed"),
+        F.count_if(F.col("normal") == F.col("text")).alias("restored"),
+        F.count_if(F.col("normal") != F.col("wide")).alias("changed"),
     )
 
 
@@ -287,16 +328,6 @@ def fertility_band_query(spark, sf):
     return banded.groupBy("dataset", "band").agg(F.count(F.lit(1)).alias("n"))
 
 
-_UNITS = (("B", 0), ("KB", 1), ("MB", 2), ("GB", 3), ("TB", 4))
-
-
-def _sql_size(b: str) -> str:
-    whens = " ".join(
-        f"WHEN {b} < {float(1024 ** (p + 1))} THEN printf('%.2f {u}', {b} / {float(1024**p)})" for u, p in _UNITS
-    )
-    return f"CASE {whens} ELSE printf('%.2f PB', {b} / {float(1024**5)}) END"
-
-
 @query(
     "format_size",
     f"""WITH {SRC}, s AS (SELECT dataset, CAST(CAST(sum(octet_length(encode(text))) AS BIGINT) AS DOUBLE) AS b FROM src GROUP BY dataset)
