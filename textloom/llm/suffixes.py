@@ -151,7 +151,8 @@ def runs(data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
     ends = np.append(starts[1:], windows)
     keep = inside[starts]
     starts, ends = starts[keep], ends[keep]
-    return chosen[starts], hashes.of(starts, ends + LENGTH - 1), starts, ends - starts
+    # Mixed again, as the least of many hashes are low and would crowd the first buckets.
+    return _mix(chosen[starts]), hashes.of(starts, ends + LENGTH - 1), starts, ends - starts
 
 
 def _pieces(texts: list[tuple[int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
