@@ -103,20 +103,31 @@ RUN = {"doc": "i8", "tag": "u4", "start": "u4", "count": "u4", "marked": "u1"}
 Columns = dict[str, np.ndarray]
 
 
-def pack(columns: Columns) -> bytes:
+# Columns that are packed as differences, which are small where rows are in the order of documents.
+STEPS = ("doc", "tag", "start")
+
+
+def in_place_order(columns: Columns) -> Columns:
+    return take(columns, np.lexsort((columns["start"], columns["tag"], columns["doc"])))
+
+
+def pack(columns: Columns, steps: bool = False) -> bytes:
     """Columns one after another, each compressed; lengths first."""
+    if steps:
+        columns = {k: np.diff(c, prepend=c.dtype.type(0)) if k in STEPS else c for k, c in columns.items()}
     parts = [pa.compress(np.ascontiguousarray(c), codec="zstd", asbytes=True) for c in columns.values()]
     n = len(next(iter(columns.values())))
     return np.array([n, *map(len, parts)], "<i8").tobytes() + b"".join(parts)
 
 
-def unpack(blob: bytes, fields: dict[str, str]) -> Columns:
+def unpack(blob: bytes, fields: dict[str, str], steps: bool = False) -> Columns:
     sizes = np.frombuffer(blob, "<i8", len(fields) + 1)
     at, out = sizes.nbytes, {}
     for (name, kind), size in zip(fields.items(), sizes[1:].tolist(), strict=True):
         width = np.dtype(kind).itemsize
         raw = pa.decompress(blob[at : at + size], int(sizes[0]) * width, codec="zstd", asbytes=True)
-        out[name] = np.frombuffer(raw, kind)
+        column = np.frombuffer(raw, kind)
+        out[name] = np.cumsum(column, dtype=kind) if steps and name in STEPS else column
         at += size
     return out
 
@@ -356,9 +367,9 @@ def _scan(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordB
                 family.add(unpack(blob.as_py(), FIELDS))
     decided += [_decided(c) for c in family.finish()]
     if decided:
-        every = join(decided)
+        every = in_place_order(join(decided))
         found = _by_part(every, _group(every["doc"], groups))
-        if rows := [(part, 0, pack(c)) for part, c in found]:
+        if rows := [(part, 0, pack(c, steps=True)) for part, c in found]:
             yield _blobs(rows)
 
 
@@ -368,7 +379,7 @@ class _Decisions:
     def __init__(self, parts: list[Columns]) -> None:
         parts = [{name: np.empty(0, kind) for name, kind in RUN.items()}, *parts]
         c = join(parts)
-        self.columns = take(c, np.lexsort((c["start"], c["tag"], c["doc"])))
+        self.columns = in_place_order(c)
 
     def of(self, doc: int, tag: int) -> Columns:
         c = self.columns
@@ -470,7 +481,7 @@ def _later(windows: Columns) -> tuple[Columns, np.ndarray]:
 
 def _removed(windows: Columns) -> Columns:
     """Windows as runs of one; neighbours are joined."""
-    w = take(windows, np.lexsort((windows["start"], windows["tag"], windows["doc"])))
+    w = in_place_order(windows)
     new = _firsts(w["doc"], w["tag"]) if len(w["doc"]) else np.zeros(0, bool)
     new[1:] |= w["start"][1:] != w["start"][:-1] + 1
     first = np.flatnonzero(new)
@@ -490,13 +501,14 @@ def _judge(batches: Iterator[pa.RecordBatch], buckets: int, groups: int, texts:
 
     def flush() -> pa.RecordBatch:
         windows, later = _later(_windows(waiting))
-        sent, gone = take(windows, np.flatnonzero(~later)), _removed(take(windows, np.flatnonzero(later)))
+        sent = in_place_order(take(windows, np.flatnonzero(~later)))
+        gone = _removed(take(windows, np.flatnonzero(later)))
         out = [
-            {"kind": "windows", "part": part, "blob": pack(c)}
+            {"kind": "windows", "part": part, "blob": pack(c, steps=True)}
             for part, c in _by_part(sent, (sent["one"] // width).astype(np.int64))
         ]
         out += [
-            {"kind": "removed", "part": part, "blob": pack(c)}
+            {"kind": "removed", "part": part, "blob": pack(c, steps=True)}
             for part, c in _by_part(gone, _group(gone["doc"], groups))
         ]
         return _outcome(out)
@@ -505,7 +517,7 @@ def _judge(batches: Iterator[pa.RecordBatch], buckets: int, groups: int, texts:
         rows, size = [], 0
         for r in batch.to_pylist():
             if r["text"] is None:
-                parts.append(unpack(r["blob"], RUN))
+                parts.append(unpack(r["blob"], RUN, steps=True))
                 continue
             decisions = decisions or _Decisions(parts)
             run = decisions.of(r["doc"], r["tag"])
@@ -538,12 +550,12 @@ def _judge(batches: Iterator[pa.RecordBatch], buckets: int, groups: int, texts:
 
 def _compare(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     """All windows of a bucket; those that a smaller document has are removed."""
-    parts = [unpack(b.as_py(), WINDOW) for batch in batches for b in batch.column("blob")]
+    parts = [unpack(b.as_py(), WINDOW, steps=True) for batch in batches for b in batch.column("blob")]
     if not parts:
         return
     windows, later = _later(join(parts))
     gone = _removed(take(windows, np.flatnonzero(later)))
-    rows = [(part, 0, pack(c)) for part, c in _by_part(gone, _group(gone["doc"], groups))]
+    rows = [(part, 0, pack(c, steps=True)) for part, c in _by_part(gone, _group(gone["doc"], groups))]
     if rows:
         yield _blobs(rows)
 
@@ -556,7 +568,7 @@ def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.Recor
         rows = []
         for r in batch.to_pylist():
             if r["kept"] is None:
-                parts.append(unpack(r["blob"], RUN))
+                parts.append(unpack(r["blob"], RUN, steps=True))
                 continue
             decisions = decisions or _Decisions(parts)
             text = pa.decompress(r["kept"], r["n_bytes"], codec="zstd", asbytes=True)
