@@ -40,7 +40,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@query("op1_embeddings")
+@query(
+    "op1_embeddings",
+    """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT *, sqrt(list_dot_product(e, e)) AS size FROM v WHERE list_dot_product(e, e) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label
+  AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+reach AS (SELECT vec_id AS origin, vec_id AS node FROM embeddings
+  UNION SELECT r.origin, l.b FROM reach r JOIN links l ON r.node = l.a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT origin AS vec_id, coalesce(any_value(d.n), 0)::BIGINT AS n_links, min(node) AS component_id,
+  origin = min(node) AS kept
+FROM reach LEFT JOIN degree d ON d.a = origin GROUP BY origin""",
+)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf, "embeddings"))
 
