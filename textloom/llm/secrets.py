@@ -42,6 +42,15 @@ class Rule:
     least: int = 1
 
 
+# The rest of a private key: all up to its own END line, which no other BEGIN or END comes before; if there
+# is none, PEM headers and base64 lines. A line break may be written as an escape.
+_BREAK = r"(?:[\x20\t]*(?:[\r\n]|\\[nr]))+[\x20\t]*"
+_TO_END = r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1PRIVATE KEY-----"
+_HEADERS = rf"(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*)*+"
+_BODY = (
+    rf"(?:(?:{_BREAK}|[\x20\t]*)[A-Za-z0-9+/]{{16,}}+={{0,2}}"
+    rf"|{_BREAK}[A-Za-z0-9+/]++={{0,2}}(?=[\x20\t]*(?:[\r\n\"']|\\[nr]|$)))*+"
+)
 # The three base kinds, then public token formats that the index adds.
 RULES = (
     Rule(
@@ -52,12 +61,12 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
+    Rule("pem", rf"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:{_TO_END}|{_HEADERS}{_BODY})"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,999}\.eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{8,999}"),
-    Rule("login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
+    Rule("login", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 )
 BASE = ("assign", "access", "hex")
 
