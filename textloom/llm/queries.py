@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from textloom.llm import (
     embeddings,
+    exact,
     fingerprints,
     mixing,
     pieces,
     secrets,
     sharding,
     simhash,
+    spelling,
     suffixes,
     toxicity,
     url_filter,
@@ -219,3 +221,52 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return suffixes.remove_repeats(docs, texts=False).drop("kept")
+
+
+@query(
+    "op11_exact",
+    """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return exact.deduplicate(spark, f"{sf}/documents.parquet")
+
+
+# CRC-32 in SQL: one byte by eight steps of the polynomial, and a list of bytes folded from the left.
+_CRC_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce(range(8), lambda c, k:
+  xor(c >> 1, 3988292384 * (c & 1)), i) AS c FROM range(256) t(i)))"""
+
+
+@query(
+    "op12_spelling",
+    f"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents) GROUP BY ALL),
+long AS (SELECT run, n, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM runs WHERE length(run) >= 6),
+hashed AS (SELECT run, n, xor(4294967295::BIGINT, list_reduce(list_transform(range(octet_length(encode(s))),
+    lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(t.crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT)) AS h FROM long, t),
+read AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT)
+    || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM read WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (SELECT DISTINCT a, b, bn FROM (
+  SELECT x.word AS a, y.word AS b, y.n AS bn FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION ALL SELECT x.word, y.word, y.n FROM less x JOIN words y ON x.rest = y.word
+  UNION ALL SELECT y.word, x.word, x.n FROM less x JOIN words y ON x.rest = y.word)),
+best AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-bn, b)) AS f, max(bn) AS fn FROM near GROUP BY a),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN fn >= 5 * n THEN f END AS form, CASE WHEN fn >= 5 * n THEN fn END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS node, 0 AS step FROM forms
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON c.node = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (SELECT word, arg_max(node, step) AS root FROM chain GROUP BY word) c USING (word)""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
