@@ -61,4 +61,4 @@ def test_url_filter_plan_is_native_and_joins_nothing(spark, small):
 
 
 def test_one_query_an_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

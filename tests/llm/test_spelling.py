@@ -70,7 +70,7 @@ def test_against_brute_force(spark, monkeypatch, rows, crowded):
     monkeypatch.setattr(spelling, "HELD", 50)
     frame = spark.createDataFrame([(i, t, "w", 3) for i, t in rows], "doc_id long, text string, word string, n long")
     want = brute(rows)
-    assert sum(r[1] is not None for r in want) > 20 and max(r[4] for r in want) > 3
+    assert sum(r[1] is not None for r in want) > 8 and max(r[4] for r in want) > 3
     got = spelling.variants(frame.repartition(3)).select("word", "form", "root", "n", "n_near", "form_n")
     assert sorted(map(tuple, got.collect())) == want
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
+    collocations,
     embeddings,
     exact,
     fingerprints,
@@ -270,3 +271,36 @@ FROM forms f JOIN (SELECT word, arg_max(node, step) AS root FROM chain GROUP BY
 )
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(table(spark, sf, "documents"))
+
+
+@query(
+    "op13_collocations",
+    """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+split AS MATERIALIZED (SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces)
+  WHERE len(w) > 0),
+grams AS (SELECT lang, len(g) AS words, array_to_string(g, ' ') AS phrase FROM (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i])) AS g FROM split
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) FROM split
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) FROM split
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) FROM split)),
+f AS MATERIALIZED (SELECT lang, phrase, any_value(words) AS words, count(*) AS f FROM grams GROUP BY lang, phrase),
+cand AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, f AS a, unnest(range(1, words)) AS k, w FROM cand),
+sides AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM cuts),
+scored AS (SELECT s.*, l.f AS l, r.f AS r, (2000000::HUGEINT * a // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM sides s JOIN f l ON l.lang = s.lang AND l.phrase = x JOIN f r ON r.lang = s.lang AND r.phrase = y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, f FROM (
+    SELECT *, unnest(range(1, words - m + 2)) AS i FROM (SELECT *, unnest(range(2, words)) AS m FROM cand))),
+longest AS (SELECT lang, phrase, max(f) AS longer FROM inner_parts GROUP BY lang, phrase),
+kept AS (SELECT b.* FROM best b LEFT JOIN longest USING (lang, phrase)
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= 2000""",
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))

@@ -54,28 +54,33 @@ def slipped(run: str, h: int) -> str:
     return run[:at] + run[at + 1 :]
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter[str] = Counter()
-
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"]
-        )
-
-    for rows in batches:
-        for name, text in zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), strict=True):
-            prefix = zlib.crc32(f"{name}:".encode())
-            # Lower-casing bytes changes A-Z only.
-            runs = Counter(RUN.findall(text.lower().decode("utf-8", "replace")))
-            for run, n in runs.items():
-                if len(run) >= MIN_LENGTH:
-                    word = slipped(run, zlib.crc32(run.encode(), prefix))
-                    if len(word) >= MIN_LENGTH:
-                        held[word] += n
-            if len(held) > HELD:
-                yield batch()
-                held.clear()
-    yield batch()
+def _occurrences(most: int):
+    """Counts of words, combined over a task's texts in tables of about ``most`` words."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"]
+            )
+
+        for rows in batches:
+            for name, text in zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), strict=True):
+                prefix = zlib.crc32(f"{name}:".encode())
+                # Lower-casing bytes changes A-Z only.
+                runs = Counter(RUN.findall(text.lower().decode("utf-8", "replace")))
+                for run, n in runs.items():
+                    if len(run) >= MIN_LENGTH:
+                        word = slipped(run, zlib.crc32(run.encode(), prefix))
+                        if len(word) >= MIN_LENGTH:
+                            held[word] += n
+                if len(held) > most:
+                    yield batch()
+                    held.clear()
+        yield batch()
+
+    return counts
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -87,7 +92,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
     )
-    counts = rows.mapInArrow(_occurrences, "word string, n long")
+    counts = rows.mapInArrow(_occurrences(HELD), "word string, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
 
 
