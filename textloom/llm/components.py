@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import write_and_read
+from textloom.session import drop_path, fresh_path, read_table
 
 # Rounds grow with the logarithm of the longest chain; this bound is only a guard against a bug.
 MAX_ROUNDS = 60
@@ -44,10 +44,19 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    edges = write_and_read(edges, label)
+    spark = edges.sparkSession
+
+    def written(links: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, label)
+        links.write.parquet(path)
+        return read_table(spark, path, links.schema), path
+
+    edges, path = written(edges)
     mark = None
     for _ in range(MAX_ROUNDS):
-        edges = write_and_read(_contract(_contract(edges, True), False), label)
+        before = path
+        edges, path = written(_contract(_contract(edges, True), False))
+        drop_path(spark, before)
         # Equal sums of both ends and equal counts: no link moved in this round.
         now = edges.agg(
             F.count("*"),

@@ -106,16 +106,21 @@ def mix(
     seed: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: str | None = None,
 ) -> DataFrame:
     """(id, the levels' columns, tokens, budget of the leaf, copies), a row for every row of ``docs``.
 
+    ``carry`` names a column, as a struct of whole rows, that is handed on with each row, so that rows
+    need not be found again by ids that may repeat or be null.
+
     ``copies`` says how often the mix holds the document, 0 for not at all. Documents of equal hash
     order (repeated or null ids) follow by tokens. A document without words is taken with the prefix
     that it falls into. An empty table gives an empty one. Only leaves, ranges and the rows of one
     range a leaf are ordered; a leaf with a third of all rows is summed before it is shuffled.
     """
+    carried = [] if carry is None else [F.col(carry).alias("carried")]
     rows = docs.select(
-        F.col(id_col).alias("id"), *levels, count_words(F.col(text_col)).alias("tokens")
+        F.col(id_col).alias("id"), *levels, count_words(F.col(text_col)).alias("tokens"), *carried
     )
     rows = write_and_read(rows.withColumn("leaf", F.to_json(F.struct(*levels))), "mix-rows")
     leaves = rows.groupBy("leaf", *levels).agg(F.sum("tokens").alias("tokens"))
@@ -143,7 +148,7 @@ def mix(
     )
     ends = write_and_read(ends, "mix-ends")
     placed = keyed.join(ends, "leaf", "left")
-    columns = ["id", *levels, "tokens", "budget"]
+    columns = ["id", *levels, "tokens", "budget"] + (["carried"] if carried else [])
     clear = placed.where("last IS NULL OR range <> last").select(
         *columns,
         (F.col("epoch") + F.expr("CASE WHEN last IS NULL OR range < last THEN 1 ELSE 0 END")).alias("copies"),
@@ -158,4 +163,5 @@ def mix(
     out = clear.unionByName(edge)
     # A leaf that gets nothing takes no documents without words either.
     copies = F.when(F.col("budget") > 0, F.col("copies")).otherwise(0).cast("int")
-    return out.withColumn("copies", copies).withColumnRenamed("id", id_col)
+    out = out.withColumn("copies", copies).withColumnRenamed("id", id_col)
+    return out if carry is None else out.withColumnRenamed("carried", carry)

@@ -137,7 +137,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, fingerprint: 16 hex digits, component_id: least id reachable by links), a row each.
 
     Null and blank texts have fingerprint zero and are linked like any other. Null ids never name a
-    component; one of null ids only has a null name. Repeated rows stay repeated.
+    component; one of null ids only has a null name. Repeated rows stay repeated. Ids may be of any type
+    that has an order, structs included.
     """
     prints = docs.select(F.col(id_col).alias("id"), F.col("text").cast("binary").alias("text")).mapInArrow(
         _fingerprints, f"id {docs.schema[id_col].dataType.simpleString()}, fp long"
