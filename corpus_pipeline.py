@@ -8,10 +8,10 @@ hold them against plain Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, near_copies, pieces, secrets, toxicity
+from textloom.llm import mixing, pieces, secrets, simhash, toxicity
 from textloom.llm.queries import DROPOUT, DROPOUT_SEED, MIX_LEVELS, MIX_SEED, MIX_WEIGHTS, with_domain
 from textloom.session import write_and_read
 
@@ -19,11 +19,6 @@ from textloom.session import write_and_read
 KEPT_SHARE = 0.8
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids`` (column _id, null matches null)."""
-    return docs.join(ids.distinct(), docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of ``toxicity.THRESHOLD`` or more go; labels are learned in part."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -32,19 +27,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the least id stays. Copies are linked by a
-    similarity of 0.8 or more of their five-word shingles, verified on the whole sets.
+    """Of every group that SimHash links, the row with the least id stays.
 
-    Rows of one id are one document, of which one row stays. A row without an id can neither name nor
-    join a group and stays.
+    Rows are told apart by id and text, so rows of one id are documents of their own, a group of rows
+    without an id keeps one, and only rows that repeat in both go without being in a group. Rows with an
+    id stay before rows without.
     """
-    named = docs.where("doc_id IS NOT NULL")
-    groups = near_copies.near_copies(named.select("doc_id", "text"))
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = named.join(first, named["doc_id"] == first["_id"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    unnamed = F.col("doc_id").isNull()
+    key = F.struct(unnamed.alias("unnamed"), F.col("doc_id").alias("id"), F.sha2(text, 256).alias("digest"))
+    groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
+    first = groups.where("key = component_id").select("key").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key")).join(first, "key", "left_semi")
+    return rows.dropDuplicates(["key"]).select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,17 +49,19 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The prefix of each source that its token budget allows."""
+    """The prefix of each source that its token budget allows. Rows are carried through the mix, so
+    repeated and null ids take what they hold and no more."""
+    rows = docs.withColumn("row", F.struct(*docs.columns)).select("doc_id", "text", "lang", "source", "row")
     mixed = mixing.mix(
-        with_domain(docs.select("doc_id", "text", "lang", "source")),
+        with_domain(rows),
         MIX_LEVELS,
         MIX_WEIGHTS,
         share=KEPT_SHARE,
         epochs=1,
         seed=MIX_SEED,
+        carry="row",
     )
-    ids = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"))
-    return _only(docs, ids)
+    return mixed.where("copies > 0").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
