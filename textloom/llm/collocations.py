@@ -1,9 +1,9 @@
 """Phrase collocations, counted with weighted acyclic automata.
 
 A symbol is a word with its language before it ("en<tab>word"), so languages need no separate tables. A
-shard is a run of whole texts in one task: its phrases are sorted, and an acyclic automaton is built from
-the sorted list, whose arcs carry a symbol and the count of the phrase that ends there; equal states are
-one state. Automata are cut at the same phrases in every shard, so that a range of phrases meets in one
+shard is a run of whole texts in one task, encoded once as symbol numbers: its phrases are sorted, and an
+acyclic automaton is built from the sorted list, whose arcs carry a symbol and the count of the phrase that
+ends there; equal states are one state. Automata are cut at the same phrases in every shard, so that a range of phrases meets in one
 group: there the automata are united, weights of equal phrases are added, and phrases below the threshold
 go. The counts of a candidate's parts are looked up by composing the sorted parts with the automaton of
 the frequent phrases of their range.
@@ -19,7 +19,7 @@ import bisect
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ NO_LANGUAGE = "und"
 # Words of a shard, and words behind a range of phrases.
 SHARD_WORDS, RANGE_WORDS = 1 << 20, 500_000
 MIN_RANGES, MAX_RANGES = 16, 8192
+# Words whose numbers a task keeps.
+KNOWN = 1 << 20
 # Bytes of text that are split into words at once.
 PORTION = 1 << 21
 # Documents whose phrases the cuts of the ranges are drawn from (cuts only balance tasks).
@@ -324,15 +326,25 @@ def _count_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class _Shard:
-    """Texts of a task: symbol numbers in order, with -1 where a piece ends or a word is not frequent."""
+    """Texts of a task: word numbers in order, with -1 where a piece ends.
+
+    Numbers, hashes and the test for frequency are kept from shard to shard, up to ``KNOWN`` words.
+    """
 
     def __init__(self, words: Frequent):
         self.frequent = words
-        self.clear()
+        self.forget()
 
-    def clear(self) -> None:
+    def forget(self) -> None:
         self.numbers: dict[bytes, dict[bytes, int]] = {}
         self.next = count()
+        self.tested: Counter[bytes] = Counter()
+        # By word number, of the tested words; symbols of the frequent ones only.
+        self.hashes = np.empty(0, np.uint64)
+        self.symbols: dict[int, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
         self.runs: list[np.ndarray] = []
         self.size = 0
 
@@ -345,32 +357,77 @@ class _Shard:
         self.runs.append(run)
         self.size += len(run)
 
-    def phrases(self, lengths: tuple[int, ...], pairs: Frequent | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(symbols in order, sorted phrases by symbol number, counts) of the given lengths."""
-        found = sorted((lang + b"\t" + w, i) for lang, number in self.numbers.items() for w, i in number.items())
-        symbols = [s for s, _ in found]
-        hashes = _hashes(symbols)
-        good = self.frequent.has(hashes[:, None]) if symbols else np.empty(0, bool)
-        rank = np.full(len(symbols) + 1, -1, np.int64)
-        rank[[i for _, i in found]] = np.where(good, np.arange(len(symbols)), -1)
-        ids = rank[np.concatenate(self.runs)] if self.runs else np.empty(0, np.int64)
-        ok = (ids[:-1] >= 0) & (ids[1:] >= 0)
-        if pairs is not None:
-            at = np.flatnonzero(ok)
-            ok[at] = pairs.has(np.column_stack((hashes[ids[at]], hashes[ids[at + 1]])))
-        grams = []
-        for length in lengths:
-            whole = ok[: len(ok) - length + 2].copy()
-            for d in range(1, length - 1):
-                whole &= ok[d : len(ok) - length + 2 + d]
-            at = np.flatnonzero(whole)
-            part = np.full((len(at), MAX_WORDS), -1, np.int64)
-            for d in range(length):
-                part[:, d] = ids[at + d]
-            grams.append(part)
-        grams = np.concatenate(grams)
-        grams, counts = _sum_sorted(grams, np.ones(len(grams), np.int64))
-        return symbols, grams, counts
+    def _test(self) -> None:
+        """Hash and test the words that are new since the last shard."""
+        new = []
+        for lang, number in self.numbers.items():
+            new += [(i, lang + b"\t" + w) for w, i in islice(number.items(), self.tested[lang], None)]
+            self.tested[lang] = len(number)
+        if new:
+            at, symbols = np.array([i for i, _ in new]), [s for _, s in new]
+            hashes = _hashes(symbols)
+            self.hashes = np.concatenate((self.hashes, np.empty(len(new), np.uint64)))
+            self.hashes[at] = hashes
+            good = np.flatnonzero(self.frequent.has(hashes[:, None]))
+            self.symbols.update(zip(at[good].tolist(), map(symbols.__getitem__, good.tolist()), strict=True))
+
+    def encoded(self) -> tuple[list[bytes], np.ndarray]:
+        """(frequent symbols in order, their ranks in the texts' order; -1: a break or another word)."""
+        self._test()
+        found = sorted((s, i) for i, s in self.symbols.items())
+        rank = np.full(len(self.hashes) + 1, -1, np.int64)
+        rank[[i for _, i in found]] = np.arange(len(found))
+        ids = rank[np.concatenate(self.runs)]
+        # One break is as good as many.
+        return [s for s, _ in found], ids[np.concatenate(([True], (ids[1:] >= 0) | (ids[:-1] >= 0)))]
+
+
+def _encode(words: Frequent):
+    """Texts as shards: frequent symbols, and ranks in the texts' order."""
+    portion, shard_words = PORTION, SHARD_WORDS
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = _Shard(words)
+
+        def row() -> pa.RecordBatch:
+            symbols, ids = shard.encoded()
+            columns = [[b" ".join(symbols)], [_packed(ids.astype(np.int32))]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["symbols", "ids"])
+
+        for batch in batches:
+            for lang, tokens in _tokens(batch, portion):
+                shard.add(lang, tokens)
+                if shard.size >= shard_words and tokens[-1:] == [_BREAK]:
+                    yield row()
+                    shard.clear()
+                    if len(shard.hashes) > KNOWN:
+                        shard.forget()
+        if shard.size:
+            yield row()
+
+    return encode
+
+
+def _phrases(
+    symbols: list[bytes], ids: np.ndarray, lengths: tuple[int, ...], pairs: Frequent | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted phrases of a shard of the given lengths, by rank, and their counts."""
+    ok = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    if pairs is not None:
+        hashes, at = _hashes(symbols), np.flatnonzero(ok)
+        ok[at] = pairs.has(np.column_stack((hashes[ids[at]], hashes[ids[at + 1]])))
+    grams = []
+    for length in lengths:
+        whole = ok[: max(0, len(ok) - length + 2)].copy()
+        for d in range(1, length - 1):
+            whole &= ok[d : len(whole) + d]
+        at = np.flatnonzero(whole)
+        part = np.full((len(at), MAX_WORDS), -1, np.int64)
+        for d in range(length):
+            part[:, d] = ids[at + d]
+        grams.append(part)
+    grams = np.concatenate(grams)
+    return _sum_sorted(grams, np.ones(len(grams), np.int64))
 
 
 def _first_at(symbols: list[bytes], grams: np.ndarray, cut: tuple[bytes, ...]) -> int:
@@ -403,28 +460,19 @@ def _cut(symbols: list[bytes], grams: np.ndarray, counts: np.ndarray, cuts: list
             yield [number, b" ".join(own), *Automaton.of_sorted(part, counts[low:high]).columns()]
 
 
-def _shards(words: Frequent, pairs: Frequent | None, lengths: tuple[int, ...], cuts):
+def _automata(pairs: Frequent | None, lengths: tuple[int, ...], cuts):
+    """Shards as automata of their phrases, one for each range."""
     names = ["range", "symbols", "label", "weight", "first", "target"]
     kinds = [pa.int32()] + [pa.binary()] * 5
-    portion, shard_words = PORTION, SHARD_WORDS
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, limits = _Shard(words), cuts.value
-
-        def rows() -> pa.RecordBatch:
-            symbols, grams, counts = shard.phrases(lengths, pairs)
-            found = list(_cut(symbols, grams, counts, limits))
-            columns = zip(*found, strict=True) if found else [[] for _ in names]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
         for batch in batches:
-            for lang, tokens in _tokens(batch, portion):
-                shard.add(lang, tokens)
-                if shard.size >= shard_words and tokens[-1:] == [_BREAK]:
-                    yield rows()
-                    shard.clear()
-        if shard.size:
-            yield rows()
+            for text, packed in zip(batch.column("symbols"), batch.column("ids"), strict=True):
+                symbols = text.as_py().split(b" ") if len(text.as_py()) else []
+                grams, counts = _phrases(symbols, _unpacked(packed.as_py(), np.int32), lengths, pairs)
+                found = list(_cut(symbols, grams, counts, cuts.value))
+                columns = zip(*found, strict=True) if found else [[] for _ in names]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return build
 
@@ -558,10 +606,12 @@ def count_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame, object]:
     total = singles.agg(F.sum("f")).first()[0] or 0
     ranges = min(MAX_RANGES, max(MIN_RANGES, total // RANGE_WORDS))
     cuts = spark.sparkContext.broadcast(_draw_cuts(docs, docs.count(), ranges))
-    words, pairs, levels = Frequent(frequent), None, []
+    pairs, levels = None, []
+    encoded = rows.mapInArrow(_encode(Frequent(frequent)), "symbols binary, ids binary")
+    encoded = _read(spark, encoded, "shards")
     for name, lengths in (("pairs", (2,)), ("longer", (3, 4))):
-        shards = rows.mapInArrow(
-            _shards(words, pairs, lengths, cuts),
+        shards = encoded.mapInArrow(
+            _automata(pairs, lengths, cuts),
             "range int, symbols binary, label binary, weight binary, first binary, target binary",
         )
         counted = shards.groupBy("range").applyInArrow(_unite, "phrase binary, words int, f long")
