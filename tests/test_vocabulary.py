@@ -9,6 +9,7 @@ from tokenizers.normalizers import NFKC
 
 from textloom.functions import pretokens as P
 from textloom.functions.tokens import Codec, attention_mask, merge_symbols, pad, truncate
+from textloom.operators import pair_index
 from textloom.operators import vocabulary as V
 from textloom.operators.encoding import TOKENIZED_SCHEMA, encode_records, token_totals
 from textloom.operators.evaluation import fertility_report, text_fertility
@@ -76,30 +77,43 @@ def test_training_on_tiny_alphabets(spark, seed):
     tok, trainer = library(277 + 30)
     tok.train_from_iterator(corpus, trainer=trainer)
     df = spark.createDataFrame([(x,) for x in corpus], "text string")
-    ours = V.train_vocabulary(V.word_counts(V.corpus_lines(df)), vocab_size=277 + 30, partitions=1)
+    ours = V.train_vocabulary(V.word_counts(V.corpus_lines(df)), vocab_size=277 + 30)
     assert learned_pairs(ours) == [tuple(m) for m in json.loads(tok.to_str())["model"]["merges"]]
 
 
 def test_training_stops_at_frequency_and_at_max_merges(spark):
     df = spark.createDataFrame([("ab ab cd",)], "text string")
     counts = V.word_counts(V.corpus_lines(df))
-    assert [m.token for m in V.train_vocabulary(counts, partitions=1).merges] == ["ab"]
-    assert V.train_vocabulary(counts, max_merges=0, partitions=1).merges == []
-    assert V.train_vocabulary(counts, vocab_size=277, partitions=1).merges == []
+    assert [m.token for m in V.train_vocabulary(counts).merges] == ["ab"]
+    assert V.train_vocabulary(counts, max_merges=0).merges == []
+    assert V.train_vocabulary(counts, vocab_size=277).merges == []
 
 
-def test_rewrites_agree(spark, monkeypatch):
-    chars = [P.symbol_char(i) for i in range(30, 36)]
+@pytest.mark.parametrize("rebuild, head", [(0.0, 20), (9.0, 1000)])
+def test_index_kept_and_rebuilt(spark, monkeypatch, rebuild, head):
+    """Words and index written anew after every round, and never; a narrow head and a wide one."""
     rng = random.Random(5)
-    rows = [("".join(rng.choice(chars) for _ in range(rng.randint(1, 12))), 1) for _ in range(300)]
-    words = spark.createDataFrame(rows, V.WORDS_SCHEMA)
-    batches = [
-        [V.Merge(chars[0] + chars[1], "x", 300, 9), V.Merge(chars[0] + chars[2], "y", 301, 8), V.Merge(chars[3] + chars[1], "z", 302, 7)],
-        [V.Merge(chars[4] * 2, "w", 303, 6)],
-    ]
-    inline = V.rewrite_words(words, batches).collect()
-    monkeypatch.setattr(V, "_INLINE_MERGES", 0)
-    assert V.rewrite_words(words, batches).collect() == inline
+    monkeypatch.setattr(pair_index, "SLOT_WORDS", 30)
+    monkeypatch.setattr(pair_index.PairIndex.__init__, "__defaults__", (rebuild,))
+    corpus = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 12))) for _ in range(30)) for _ in range(20)]
+    tok, trainer = library(277 + 20)
+    tok.train_from_iterator(corpus, trainer=trainer)
+    df = spark.createDataFrame([(x,) for x in corpus], "text string")
+    ours = V.train_vocabulary(V.word_counts(V.corpus_lines(df)), vocab_size=277 + 20, head=head)
+    assert learned_pairs(ours) == [tuple(m) for m in json.loads(tok.to_str())["model"]["merges"]]
+
+
+def test_a_round_reads_the_words_it_touches(spark):
+    rows = [("abc", 5), ("bca", 4), ("xyz", 3), ("ab" * 400, 1), ("q", 9)]
+    index = pair_index.PairIndex(spark.createDataFrame(rows, V.WORDS_SCHEMA))
+    assert {r.symbols for r in index.touched(["xy"]).collect()} == {"xyz"}
+    index.apply([("xy", "X"), ("Xz", "Y")])
+    assert {r.symbols for r in index.touched(["ab"]).collect()} == {"abc", "ab" * 400}
+    assert index.touched(["xy"]).count() == 0 and index.n_changed == 1
+    index.apply([("ab", "A")])
+    want = {"Ac": 5, "bc": 4, "ca": 4, "bca": 4, "AA": 399, "AAA": 398}
+    assert {r.key: r.n for r in index.counts.collect()} == want
+    index.drop()
 
 
 def test_symbol_pairs_of_short_and_long_words(spark):
@@ -239,3 +253,19 @@ def test_vocabulary_tables_round_trip(spark, trained, tmp_path):
     info = spark.read.json(f"{tmp_path}/metadata").first()
     assert info.vocab_size == 520 and info.max_length == 2048 and len(info.special_tokens) == 21
     assert metadata(spark, ours, 520).first().algorithm == "Byte-level BPE"
+
+
+def test_the_trained_vocabulary_equals_the_library(spark, small):
+    """From balanced corpus to ids: merges, and the ids of every document and page."""
+    from textloom.queries import trained
+    from textloom.queries.base import all_sources
+
+    ours = trained.learned(spark, small)
+    tok, trainer = library(trained.TRAINED_SIZE)
+    texts = [r.text for r in trained.balanced(spark, small).collect()]
+    tok.train_from_iterator((x.strip() for t in texts for x in re.split("\r\n|\r|\n", t)), trainer=trainer)
+    assert len(ours.tokens) == trained.TRAINED_SIZE
+    assert learned_pairs(ours) == [tuple(m) for m in json.loads(tok.to_str())["model"]["merges"]]
+    texts = {(r.dataset, r.doc_id): r.text or "" for r in all_sources(spark, small).collect()}
+    for row in trained.trained_encoding(spark, small).collect():
+        assert row.input_ids == " ".join(map(str, tok.encode(texts[row.dataset, row.doc_id]).ids))

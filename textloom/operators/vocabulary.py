@@ -1,25 +1,22 @@
 """Byte-level BPE vocabulary learned by Spark jobs.
 
-The corpus is first reduced to one row per distinct pre-token with its count. Each round then
-counts adjacent pairs over that table, the driver picks a batch of merges from the top of the
-ranking, and the table is rewritten. A batch is *exact*: it is what one-merge-at-a-time training
-would have chosen. Pairs are ranked by (count desc, left id, right id). A merge of (a, b) only
-changes pairs that end in ``a`` or begin with ``b``, and every pair it creates is at most as
-frequent as one of those and ranks after it. So the longest prefix of the ranking in which no
-symbol is both a left and a right side can be merged at once. A pair of equal symbols, or one
-whose joined text already is a token, is merged alone.
-
-What reaches the driver is bounded: ``candidates`` pairs a round, and the merges themselves, at
-most as many as the vocabulary is allowed to hold.
+The corpus is first reduced to one row per distinct pre-token with its count, and these words to stored
+tables (``pair_index``): counts of pairs and triples, and an index from pairs to words. A round takes the
+head of the ranking, the driver chooses from it as many merges as can be told exactly (``merge_batches``),
+and only the words that hold them are rewritten; counts change by what these words lost and gained.
+
+Merges and their order are those of one-at-a-time training, where pairs are ranked by (count desc, left
+id, right id). A pair of equal symbols, or one whose joined text already is a token, is merged alone.
+
+What reaches the driver is bounded: the head and its triples, and the merges themselves, at most as many
+as the vocabulary is allowed to hold.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     IntegerType,
@@ -38,7 +35,8 @@ from textloom.functions.pretokens import (
     word_symbols,
 )
 from textloom.functions.text import lines, strip
-from textloom.session import drop_path, fresh_path, read_table
+from textloom.operators.merge_batches import HEAD, Batch, choose
+from textloom.operators.pair_index import PairIndex
 
 # Default vocabulary size, the sizes on offer, and the smallest pair count merged.
 VOCAB_SIZE = 128_000
@@ -64,8 +62,6 @@ WORDS_SCHEMA = StructType(
     [StructField("symbols", StringType(), False), StructField("n", LongType(), False)]
 )
 
-# Merges applied inside a query as nested built-in replaces; a longer backlog is written out.
-_INLINE_MERGES = 48
 _CHUNK = 256
 
 
@@ -145,66 +141,8 @@ class _Progress:
         self.merges.append(merge)
         return merge
 
-    def choose(self, ranked: list[tuple[str, int]]) -> list[Merge]:
-        """The exact batch at the head of a ranking (see the module text)."""
-        lefts: set[str] = set()
-        rights: set[str] = set()
-        batch: list[Merge] = []
-        for pair, count in ranked:
-            if len(self.tokens) >= self.limit:
-                break
-            left, right = pair
-            alone = left == right or self.joined(pair) in self.ids
-            if batch and (alone or left in rights or right in lefts):
-                break
-            lefts.add(left)
-            rights.add(right)
-            batch.append(self.record(pair, count))
-            if alone:
-                break
-        return batch
-
-
-def _inline_rewrite(symbols: Column, batch: list[Merge]) -> Column:
-    for merge in batch:
-        symbols = F.replace(symbols, F.lit(merge.pair), F.lit(symbol_char(merge.token_id)))
-    return symbols
-
-
-def _batch_rewrite(batches: list[list[Merge]]):
-    """Arrow function that applies whole batches: per batch one pass over the joined words.
-
-    In a batch no symbol is on both sides, so matches of "a left symbol, then a right symbol"
-    never overlap and those that are not a merge can be put back unchanged.
-    """
-    passes = [
-        (
-            "[" + "".join(sorted({m.pair[0] for m in b})) + "]["
-            + "".join(sorted({m.pair[1] for m in b})) + "]",
-            {m.pair: symbol_char(m.token_id) for m in b},
-        )
-        for b in batches
-    ]
-
-    @F.arrow_udf(StringType())
-    def rewrite(symbols: pa.Array) -> pa.Array:
-        joined = "\n".join(symbols.to_pylist())
-        for pattern, products in passes:
-            joined = re.sub(pattern, lambda m: products.get(m.group(), m.group()), joined)
-        return pa.array(joined.split("\n"), type=pa.string())
-
-    return rewrite
-
-
-def rewrite_words(words: DataFrame, batches: list[list[Merge]]) -> DataFrame:
-    """The word table after some batches: built-in replaces for few merges, Arrow beyond that."""
-    symbols = F.col("symbols")
-    if sum(map(len, batches)) <= _INLINE_MERGES:
-        for batch in batches:
-            symbols = _inline_rewrite(symbols, batch)
-    else:
-        symbols = _batch_rewrite(batches)(symbols)
-    return words.select(symbols.alias("symbols"), "n")
+    def alone(self, pair: str) -> bool:
+        return pair[0] == pair[1] or self.joined(pair) in self.ids
 
 
 @dataclass
@@ -229,11 +167,6 @@ class Vocabulary:
         return spark.createDataFrame(rows, MERGES_SCHEMA)
 
 
-def _read_words(spark: SparkSession, path: str) -> DataFrame:
-    """The word table, without words that are down to one symbol and have no pairs left."""
-    return read_table(spark, path, WORDS_SCHEMA).where(F.length("symbols") > 1)
-
-
 def base_tokens(specials: tuple[str, ...] | list[str] = SPECIAL_TOKENS) -> list[str]:
     """Special tokens, then the 256 byte characters."""
     return [*specials, *byte_alphabet()]
@@ -245,40 +178,30 @@ def train_vocabulary(
     min_frequency: int = MIN_FREQUENCY,
     specials: tuple[str, ...] | list[str] = SPECIAL_TOKENS,
     max_merges: int | None = None,
-    candidates: int = 4096,
-    partitions: int | None = None,
+    head: int = HEAD,
 ) -> Vocabulary:
-    """Learn merges from a (word, n) table until the vocabulary is full or no pair is frequent.
-
-    The word table is written to the shared folder and read back whenever the backlog of merges
-    outgrows a handful of built-in replaces, so a lost executor costs one scan of that table and
-    lineage never grows with the number of rounds.
-    """
-    spark = counts.sparkSession
+    """Learn merges from a (word, n) table until the vocabulary is full or no pair is frequent."""
     state = _Progress(base_tokens(specials), vocab_size)
-    start = counts.select(word_symbols(F.col("word"), len(specials)).alias("symbols"), "n")
-    parts = partitions or spark.sparkContext.defaultParallelism
-    path = fresh_path(spark, "words")
-    start.where(F.length("symbols") > 1).repartition(parts).write.parquet(path)
-    words = _read_words(spark, path)
+    words = counts.select(word_symbols(F.col("word"), len(specials)).alias("symbols"), "n")
+
+    def room() -> int:
+        free = state.limit - len(state.tokens)
+        return free if max_merges is None else min(free, max_merges - len(state.merges))
 
-    backlog: list[list[Merge]] = []
+    if room() <= 0:
+        return Vocabulary(state.tokens, state.merges, len(specials), 0)
+    index = PairIndex(words)
     rounds = 0
-    while len(state.tokens) < state.limit:
-        room = candidates if max_merges is None else max_merges - len(state.merges)
-        if room <= 0:
-            break
-        if sum(map(len, backlog)) > _INLINE_MERGES:
-            newer = fresh_path(spark, "words")
-            rewrite_words(words, backlog).write.parquet(newer)
-            drop_path(spark, path)
-            path, words, backlog = newer, _read_words(spark, newer), []
-        current = rewrite_words(words, backlog)
-        head = top_pairs(pair_counts(current), min(candidates, room), min_frequency).collect()
-        batch = state.choose([(r["pair"], r["n"]) for r in head])
-        if not batch:
+    while room() > 0:
+        ranked = index.head(head + 1, min_frequency)
+        if not ranked:
             break
-        backlog.append(batch)
+        floor = (ranked[head][1], ranked[head][0]) if len(ranked) > head else None
+        ranked = ranked[:head]
+        batch = Batch(ranked, index.triples([p for p, _ in ranked]), floor)
+        start = len(state.merges)
+        choose(batch, lambda p, n: symbol_char(state.record(p, n).token_id), state.alone, min_frequency, room())
+        index.apply([(m.pair, symbol_char(m.token_id)) for m in state.merges[start:]])
         rounds += 1
-    drop_path(spark, path)
+    index.drop()
     return Vocabulary(state.tokens, state.merges, len(specials), rounds)

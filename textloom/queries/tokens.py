@@ -104,14 +104,14 @@ def bpe_merge_parts(spark, sf):
 
 @query(
     "vocab_metadata",
-    f"""WITH {training()} SELECT {VOCAB_SIZE} AS vocab_size, '{ALGORITHM}' AS algorithm, 2048 AS max_length,
+    f"""WITH {training()} SELECT 277 + (SELECT count(*) FROM merges) AS vocab_size, '{ALGORITHM}' AS algorithm, 2048 AS max_length,
   '{" ".join(SPECIAL_TOKENS)}' AS special_tokens, 'en hi ta te bn mr gu kn code' AS languages,
   (SELECT count(*) FROM merges) AS n_merges, 277 + (SELECT count(*) FROM merges) AS n_tokens""",
 )
 def vocab_metadata(spark, sf):
     """The saved metadata with the sizes of the tables beside it."""
-    path = fresh_path(spark, "vocabulary")
-    write_vocabulary(vocabulary(spark, sf), spark, path, VOCAB_SIZE)
+    path, built = fresh_path(spark, "vocabulary"), vocabulary(spark, sf)
+    write_vocabulary(built, spark, path, len(built.tokens))
     vocab, merges = read_vocabulary(spark, path)
     info = spark.read.schema(METADATA_SCHEMA).json(f"{path}/metadata")
     return info.select(
