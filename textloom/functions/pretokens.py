@@ -115,15 +115,16 @@ def segments(text: Column, specials: tuple[str, ...] | list[str] = SPECIAL_TOKEN
     return F.when(present, cut).otherwise(F.array(text))
 
 
-def split_words(text: Column) -> Column:
+def split_words(text: Column, pattern: str = PRETOKEN) -> Column:
     """Pre-tokens of a normalized text, blanks and all; together they make up the text."""
-    return F.regexp_extract_all(text, F.lit(PRETOKEN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def pretokens(
     text: Column,
     specials: tuple[str, ...] | list[str] = SPECIAL_TOKENS,
     normalize: bool = True,
+    pattern: str = PRETOKEN,
 ) -> Column:
     """Pre-tokens of a raw text. A literal special token is kept as one piece and not normalized.
 
@@ -133,12 +134,12 @@ def pretokens(
     parts = segments(text, specials)
     normal = nfkc_parts(parts, text) if normalize else parts
     if not specials:
-        return split_words(F.element_at(normal, 1))
+        return split_words(F.element_at(normal, 1), pattern)
     kept = [F.lit(s) for s in specials]
     return F.flatten(
         F.zip_with(
             parts,
             normal,
-            lambda raw, norm: F.when(raw.isin(*kept), F.array(raw)).otherwise(split_words(norm)),
+            lambda raw, norm: F.when(raw.isin(*kept), F.array(raw)).otherwise(split_words(norm, pattern)),
         )
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from textloom.functions.pretokens import PAD_TOKEN, SPECIAL_TOKENS, byte_chars, pretokens
+from textloom.functions.pretokens import PAD_TOKEN, PRETOKEN, SPECIAL_TOKENS, byte_chars, pretokens
 
 if TYPE_CHECKING:
     from textloom.operators.vocabulary import Vocabulary
@@ -86,18 +86,25 @@ class Codec:
     ranks: dict[tuple[int, int], tuple[int, int]]
     specials: tuple[str, ...]
     spark: SparkSession
+    # Ids of the special tokens where they are not the first ids; whether texts are brought to NFKC; and
+    # the pattern of the pre-tokens.
+    special_ids: tuple[int, ...] | None = None
+    normalize: bool = True
+    pattern: str = PRETOKEN
 
     def __post_init__(self) -> None:
         if max(len(self.tokens), len(self.ranks)) > MAX_BROADCAST_ROWS:
             raise ValueError("vocabulary is too large to broadcast")
         back = {ch: b for b, ch in enumerate(byte_chars())}
-        n_special = len(self.specials)
-        as_bytes = [t.encode("utf-8") for t in self.tokens[:n_special]] + [
-            bytes(back[ch] for ch in t) for t in self.tokens[n_special:]
+        if self.special_ids is None:
+            self.special_ids = tuple(range(len(self.specials)))
+        literal = set(self.special_ids)
+        as_bytes = [
+            t.encode("utf-8") if i in literal else bytes(back[ch] for ch in t) for i, t in enumerate(self.tokens)
         ]
         first = {t: i for i, t in enumerate(self.tokens)}
         byte_id = [first[ch] for ch in byte_chars()]
-        special_id = {t: i for i, t in enumerate(self.specials)}
+        special_id = dict(zip(self.specials, self.special_ids, strict=True))
         context = self.spark.sparkContext
         self._encoding = context.broadcast((self.ranks, byte_id, special_id))
         self._bytes = context.broadcast(as_bytes)
@@ -155,11 +162,12 @@ class Codec:
 
     def encode(self, text: Column, parse_special: bool = True) -> Column:
         """Token ids of a raw text: special tokens, NFKC, pre-tokens, merges. No bos or eos is added."""
-        return self.encode_words(pretokens(text, self.specials if parse_special else ()))
+        specials = self.specials if parse_special else ()
+        return self.encode_words(pretokens(text, specials, self.normalize, self.pattern))
 
     def decode(self, ids: Column, skip_special: bool = True) -> Column:
         """The text of token ids; bytes that are not UTF-8 become replacement characters."""
-        shared, n_special = self._bytes, len(self.specials)
+        shared, literal = self._bytes, np.array(self.special_ids, np.int64)
 
         @F.arrow_udf(StringType())
         def decode(rows: pa.Array) -> pa.Array:
@@ -167,7 +175,7 @@ class Codec:
             flat = np.asarray(rows.flatten())
             counts = np.asarray(rows.value_lengths().fill_null(0))
             if skip_special:
-                keep = flat >= n_special
+                keep = ~np.isin(flat, literal)
                 kept_before = np.concatenate(([0], np.cumsum(keep)))
                 row_ends = kept_before[np.concatenate(([0], np.cumsum(counts)))]
                 flat = flat[keep]

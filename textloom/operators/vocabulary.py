@@ -154,13 +154,16 @@ class Vocabulary:
     n_special: int
     rounds: int = 0
 
+    def merge_ids(self) -> list[tuple[int, int]]:
+        """Ids of both sides of each merge, in rank order."""
+        return [(symbol_id(m.pair[0]), symbol_id(m.pair[1])) for m in self.merges]
+
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(t, i) for i, t in enumerate(self.tokens)], VOCAB_SCHEMA)
 
     def merges_table(self, spark: SparkSession) -> DataFrame:
         rows = []
-        for rank, m in enumerate(self.merges):
-            left, right = symbol_id(m.pair[0]), symbol_id(m.pair[1])
+        for rank, (m, (left, right)) in enumerate(zip(self.merges, self.merge_ids(), strict=True)):
             rows.append(
                 (rank, self.tokens[left], self.tokens[right], m.token, left, right, m.token_id, m.count)
             )

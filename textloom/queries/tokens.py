@@ -27,6 +27,7 @@ from textloom.queries.base import (
 from textloom.queries.bpe_sql import WORD_COUNTS, encoding, pair_table, symbols, token_texts, training
 from textloom.session import fresh_path
 from textloom.sources.sinks import ALGORITHM, METADATA_SCHEMA, read_vocabulary, write_records, write_vocabulary
+from textloom.sources.tokenizer_file import read_tokenizer, write_tokenizer
 from textloom.streaming.ingest import IngestOptions, read_ledger, read_records, run_ingest, stream_files
 
 _GROUP = ["de", "es", "fr"]
@@ -139,6 +140,19 @@ def encode_documents(spark, sf):
     return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _ids_text("ids").alias("input_ids"))
 
 
+@query(
+    "tokenizer_file",
+    f"WITH {_TEXTS}, {encoding('texts')} SELECT k AS doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, array_to_string(ids, ' ') AS input_ids FROM enc",
+)
+def tokenizer_file(spark, sf):
+    """The vocabulary written as a public tokenizer file, read back, and used."""
+    path = fresh_path(spark, "tokenizer")
+    write_tokenizer(vocabulary(spark, sf), spark, path)
+    codec = read_tokenizer(spark, path)
+    encoded = documents(spark, sf).select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _ids_text("ids").alias("input_ids"))
+
+
 @query(
     "decode_roundtrip",
     f"WITH {SRC} SELECT language, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars, 0 AS mismatches FROM src GROUP BY language",
