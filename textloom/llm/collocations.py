@@ -37,7 +37,7 @@ COVERED = 80
 NO_LANGUAGE = "und"
 
 # Words of a shard, and words behind a range of phrases.
-SHARD_WORDS, RANGE_WORDS = 1 << 20, 500_000
+SHARD_WORDS, RANGE_WORDS = 1 << 20, 2_000_000
 MIN_RANGES, MAX_RANGES = 16, 8192
 # Words whose numbers a task keeps.
 KNOWN = 1 << 20
