@@ -6,6 +6,7 @@ from textloom.operators import ledger as L
 from textloom.operators.encoding import encode_records
 from textloom.operators.vocabulary import Vocabulary, base_tokens
 from textloom.streaming import ingest as I
+from textloom.sources.versions import read_current
 from textloom.streaming.watch import ledger_stream, watch
 
 SCHEMA = "doc_id bigint, text string, language string, dataset string, phase string"
@@ -165,5 +166,5 @@ def test_watch_shows_the_newest_state(spark, tmp_path):
         spark.createDataFrame(data, L.LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(source)
         run = watch(ledger_stream(spark, source), out, seconds=None, checkpoint=str(tmp_path / "cp"))
         run.awaitTermination()
-    got = {r.status: (r.records, r.samples) for r in spark.read.parquet(out).collect()}
+    got = {r.status: (r.records, r.samples) for r in read_current(spark, out).collect()}
     assert got == {"Complete": (1, 3), "In Progress": (1, 5)}

@@ -15,6 +15,7 @@ from textloom.plans.report import report_lines
 from textloom.queries.base import query
 from textloom.session import fresh_path
 from textloom.sources.files import corrupt_checkpoints, inventory, scan_checkpoints
+from textloom.sources.versions import read_current
 from textloom.streaming.watch import ledger_stream, watch
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -283,4 +284,4 @@ def ledger_stream_query(spark, sf):
     event_ledger(spark, sf).write.parquet(f"{path}/rows")
     query_run = watch(ledger_stream(spark, f"{path}/rows"), f"{path}/status", seconds=None, checkpoint=f"{path}/checkpoint")
     query_run.awaitTermination()
-    return spark.read.parquet(f"{path}/status")
+    return read_current(spark, f"{path}/status")

@@ -39,7 +39,8 @@ from textloom.sources.catalog import (
 )
 from textloom.sources.files import inventory
 from textloom.sources.sinks import write_corpus
-from textloom.sources.tables import as_documents, filter_documents, probe, scan_directory, scan_lines
+from textloom.sources.tables import as_documents, filter_documents, first_available, probe, scan_directory, scan_lines
+from textloom.sources.versions import manifest, read_current, reuse_or_write, write_version
 
 # Languages of the test tables that have a split; English has none and is skipped.
 TEST_LANGUAGES = (
@@ -350,3 +351,54 @@ def format_duration_query(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     secs = events.groupBy("event_type", "user_id").agg(F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("secs"))
     return secs.select("event_type", "user_id", format_duration(F.col("secs") + 0.75).alias("duration"))
+
+
+_PER_SET = "SELECT source AS dataset, count(*) AS n FROM documents {where} GROUP BY source"
+
+
+def _per_set(rows):
+    return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("output_reuse", _PER_SET.format(where=""))
+def output_reuse(spark, sf):
+    """An output asked for twice: the second time it is there, and nothing is built."""
+    path, schema = fresh_path(spark, "output"), "dataset string, n bigint"
+    reuse_or_write(spark, path, lambda: _per_set(documents(spark, sf)), schema)
+
+    def never():
+        raise AssertionError("built again")
+
+    return reuse_or_write(spark, path, never, schema)
+
+
+@query("output_replace", f"SELECT o.*, 2::BIGINT AS versions FROM ({_PER_SET.format(where='WHERE n_chars > 1000')}) o")
+def output_replace(spark, sf):
+    """An output written, then replaced while a reader of the first version is open, and a stop half way."""
+    path = fresh_path(spark, "output")
+    write_version(spark, path, _per_set(documents(spark, sf)).write.parquet, "all")
+    write_version(spark, path, _per_set(documents(spark, sf).where("n_chars > 1000")).write.parquet, "long texts")
+
+    def stops(folder):
+        _per_set(documents(spark, sf).where("doc_id < 0")).write.parquet(folder)
+        raise InterruptedError
+
+    try:
+        write_version(spark, path, stops)
+    except InterruptedError:
+        pass
+    count = manifest(spark, path).agg(F.count(F.lit(1))).scalar()
+    return read_current(spark, path).select("dataset", "n", count.alias("versions"))
+
+
+@query("source_fallback", "SELECT 'documents' AS source, 2 AS failures, count(*) AS n FROM documents")
+def source_fallback(spark, sf):
+    """The first of three sources that opens: one folder is missing, one lacks a column."""
+    name, rows, failures = first_available(
+        [
+            ("nowhere", lambda: spark.read.parquet(f"{sf}/no_such_table.parquet")),
+            ("pages", lambda: spark.read.parquet(f"{sf}/pages.parquet").select("doc_id")),
+            ("documents", lambda: documents(spark, sf)),
+        ]
+    )
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("source"), F.lit(len(failures)).alias("failures"), "n")

@@ -213,17 +213,13 @@ def write_batch(
 _CLOSED = -1
 
 
-# Names gathered from a batch that failed; more than these are marked by their earlier commits only.
-_MAX_NAMES = 10_000
-
-
-def _names_of(batch: DataFrame) -> list[tuple[str | None, str | None]]:
-    """Phases and datasets of a batch, as far as it can still be read."""
+def _names_of(batch: DataFrame) -> DataFrame | None:
+    """Phases and datasets of a batch as a table; None if the batch cannot be read."""
     try:
-        rows = batch.select("phase", "dataset").distinct().limit(_MAX_NAMES).collect()
+        names = batch.select("phase", F.col("dataset").alias("dataset_name")).distinct()
+        return write_and_read(names, "failed-names")
     except PySparkException:
-        return []
-    return [(r.phase, r.dataset) for r in rows]
+        return None
 
 
 def _close(spark: SparkSession, output: str, names: DataFrame, **values) -> None:
@@ -261,13 +257,13 @@ def run_ingest(
     options = options or IngestOptions()
     spark = documents.sparkSession
     attempt, batches = 0, set()
-    broken: list[tuple[str | None, str | None]] = []
+    broken: list[DataFrame | None] = []
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         try:
             write_batch(batch, batch_id, codec, output, options, attempt)
         except Exception:
-            broken[:] = _names_of(batch)
+            broken[:] = [_names_of(batch)]
             raise
         batches.add(batch_id)
 
@@ -284,7 +280,9 @@ def run_ingest(
         except StreamingQueryException as error:
             if attempt >= retries:
                 message = str(error).splitlines()[0]
-                names = spark.createDataFrame(broken or [(None, None)], "phase string, dataset_name string")
+                names = broken[0] if broken else None
+                if names is None or names.isEmpty():
+                    names = spark.createDataFrame([(None, None)], "phase string, dataset_name string")
                 _close(spark, output, names, failed=True, error_message=message, retry_count=attempt)
                 raise
             attempt += 1

@@ -8,9 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textloom.functions.formats import status_text
 from textloom.operators.ledger import KEY, LEDGER_SCHEMA
+from textloom.sources.versions import write_version
 
 # Fixed value: seconds between two refreshes.
 WATCH_SECONDS = 30
+# Refreshes that stay readable.
+KEPT = 3
 
 
 def ledger_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -40,13 +43,14 @@ def status_counts(latest: DataFrame) -> DataFrame:
 def watch(
     ledger: DataFrame, output: str, seconds: int | None = WATCH_SECONDS, checkpoint: str | None = None
 ) -> StreamingQuery:
-    """Write the current status counts to ``output`` at every refresh.
+    """Write the current status counts to ``output`` at every refresh, as a version of their own.
 
     ``seconds=None`` refreshes once over all that is there, then stops.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        status_counts(batch).coalesce(1).write.mode("overwrite").parquet(output)
+        counts = status_counts(batch).coalesce(1)
+        write_version(batch.sparkSession, output, counts.write.parquet, f"refresh {batch_id}", KEPT)
 
     writer = latest_stream(ledger).writeStream.outputMode("complete").foreachBatch(refresh)
     if checkpoint is not None:
