@@ -9,9 +9,11 @@ from textloom.functions.text import MIN_CHARS, nfkc
 from textloom.functions.tokens import Codec
 from textloom.operators.encoding import encode_records, shape_records, token_totals
 from textloom.operators.evaluation import fertility_by_language, fertility_report, text_fertility
+from textloom.operators.slots import place_of_row
 from textloom.operators.stats import macro_average
 from textloom.operators.vocabulary import VOCAB_SIZE, corpus_lines, pair_counts, word_counts
 from textloom.plans.corpus import eligible
+from textloom.plans.layout import write_tokenized
 from textloom.queries.base import (
     DOCS,
     SRC,
@@ -222,6 +224,32 @@ def tokenized_roundtrip(spark, sf):
     return back.select("doc_id", "phase", "dataset", "length", _ids_text("input_ids").alias("input_ids"))
 
 
+# Rows of a file in the layout query; row groups are no longer than that.
+_SLOT_ROWS = 1_000
+
+
+@query(
+    "slot_layout",
+    f"""WITH {_USABLE}, {encoding('texts')}, t AS (SELECT phase, dataset, count(*) AS samples,
+  CAST(sum(len(ids[:2048])) AS BIGINT) AS tokens FROM enc JOIN texts USING (k) GROUP BY phase, dataset)
+SELECT phase, dataset, samples, tokens, samples // {_SLOT_ROWS} AS full_files,
+  CAST(samples % {_SLOT_ROWS} > 0 AS BIGINT) AS part_files FROM t""",
+)
+def slot_layout(spark, sf):
+    """Files of whole row groups: texts are moved once to the file they belong to, then encoded."""
+    path = fresh_path(spark, "slots")
+    rows = eligible(documents(spark, sf).withColumn("place", place_of_row()), length_col="n_chars")
+    write_tokenized(rows, _codec(spark, sf), path, "place", _SLOT_ROWS)
+    files = spark.read.parquet(path).groupBy("phase", "dataset", F.col("_metadata.file_path").alias("file"))
+    files = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("tokens"))
+    return files.groupBy("phase", "dataset").agg(
+        F.sum("n").alias("samples"),
+        F.sum("tokens").alias("tokens"),
+        F.count_if(F.col("n") == _SLOT_ROWS).alias("full_files"),
+        F.count_if(F.col("n") < _SLOT_ROWS).alias("part_files"),
+    )
+
+
 _COUNTED = f"""{_TEXTS}, {encoding('texts')},
 counted AS (SELECT language, dataset, len(ids) AS tokens, {sql_words('text')} AS words, text FROM enc JOIN texts USING (k)),
 per AS (SELECT language, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(words) AS BIGINT) AS words, count(*) AS texts,
