@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,47 @@ def report_lines(state: DataFrame, files: DataFrame, as_of: Column) -> DataFrame
     return rows.unionByName(long_form("in progress", parts["in_progress"], name, active)).unionByName(
         long_form("failed", parts["failed"], name, failed)
     )
+
+
+# One row of the report: which section and record, its numbers, and its text.
+REPORT_SCHEMA = (
+    "section string, item string, dataset_name string, subset string, samples bigint, tokens bigint, "
+    "files bigint, retries bigint, amount double, shown string"
+)
+
+
+def report_table(state: DataFrame, files: DataFrame | None, as_of: Column) -> DataFrame:
+    """The whole report as typed rows; without ``files`` there is no storage section.
+
+    Summary and storage have a row a figure (``amount``), the other sections a row a record: ``shown`` is
+    the time elapsed, the error, or the status.
+    """
+    fields = [f.split() for f in REPORT_SCHEMA.split(", ")]
+
+    def rows(section: str, df: DataFrame, **values: Column) -> DataFrame:
+        values = {"section": F.lit(section), **values}
+        return df.select(*[values.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
+
+    def figures(section: str, df: DataFrame, names: list[str], texts: list[str]) -> DataFrame:
+        entries = [F.struct(F.lit(n).alias("item"), F.col(n).cast("double").alias("amount"), F.lit(None).cast("string").alias("shown")) for n in names]
+        entries += [F.struct(F.lit(n).alias("item"), F.lit(None).cast("double").alias("amount"), F.col(n).alias("shown")) for n in texts]
+        long = df.select(F.inline(F.array(*entries)))
+        return rows(section, long, item=F.col("item"), amount=F.col("amount"), shown=F.col("shown"))
+
+    def records(section: str, df: DataFrame, shown: str, *columns: str, **values: Column) -> DataFrame:
+        columns = ("dataset_name", "subset", *columns)
+        return rows(section, df, **{c: F.col(c) for c in columns}, shown=F.col(shown), **values)
+
+    totals = summary(state)
+    counts = [c for c in totals.columns if c != "processing_time"]
+    parts = [figures("summary", totals, counts, ["processing_time"])]
+    if files is not None:
+        stored = storage_totals(files).withColumn("total_size", format_size(F.col("total_bytes")))
+        parts.append(figures("storage", stored, ["n_files", "total_bytes", "mean_bytes"], ["total_size"]))
+    numbers = ("samples", "tokens", "files")
+    parts += [
+        records("in progress", in_progress(state, as_of), "elapsed", *numbers),
+        records("failed", failures(state), "error", "retries"),
+        records("status", status_list(state), "status", *numbers, "retries", item=F.col("checkpoint_key")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

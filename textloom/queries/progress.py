@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from textloom.functions.text import strip
 from textloom.operators import ledger as L
 from textloom.operators.stats import running_totals
-from textloom.plans.report import report_lines
+from textloom.plans.report import report_lines, report_table
 from textloom.queries.base import query
+from textloom.queries.sources import FILES, sql_size, text_files
 from textloom.session import fresh_path
 from textloom.sources.files import corrupt_checkpoints, inventory, scan_checkpoints
 from textloom.sources.versions import read_current
-from textloom.streaming.watch import ledger_stream, watch
+from textloom.streaming.watch import ledger_stream, watch, watch_report
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -245,12 +246,55 @@ def ledger_corrupt(spark, sf):
     return corrupt.select(strip(F.col("content")).alias("content"))
 
 
-@query(
-    "progress_report",
-    None,
-)
+def _figures(section: str, table: str, numbers: tuple[str, ...], text: str) -> str:
+    rows = [f"SELECT '{section}' AS section, '{n}' AS item, {n}::DOUBLE AS amount, NULL AS shown FROM {table}" for n in numbers]
+    return " UNION ALL ".join([*rows, f"SELECT '{section}', '{text}', NULL, {text} FROM {table}"])
+
+
+def _records(section: str, table: str, item: str, numbers: str, shown: str) -> str:
+    return f"SELECT '{section}', {item}, dataset_name, subset, {numbers}, NULL, {shown} FROM {table}"
+
+
+_TOTALS = ("total_datasets", "completed", "failed", "in_progress", "total_samples", "total_tokens", "total_time",
+           "samples_per_sec", "tokens_per_sec")
+
+
+def _report_sql(storage: bool) -> str:
+    """The report as typed rows; ``storage`` adds the figures of the text files."""
+    size = sql_size("CAST(total_bytes AS DOUBLE)")
+    views = f"""{FILES}, stored AS (SELECT count(*) AS n_files, sum(length)::BIGINT AS total_bytes,
+  CAST(sum(length) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_bytes FROM files),
+sized AS (SELECT *, {size} AS total_size FROM stored), """ if storage else ""
+    figures = _figures("summary", "summary", _TOTALS, "processing_time")
+    if storage:
+        figures += " UNION ALL " + _figures("storage", "sized", ("n_files", "total_bytes", "mean_bytes"), "total_size")
+    counts = "samples::BIGINT, tokens::BIGINT, files::BIGINT"
+    none = "NULL, NULL, NULL"
+    return f"""WITH {views}{LEDGER}, {_SUMMARY}, active AS ({_IN_PROGRESS}), broken AS ({_FAILED}), listed AS ({_STATUS_LIST}),
+figures AS ({figures})
+SELECT section, item, NULL::VARCHAR AS dataset_name, NULL::VARCHAR AS subset, NULL::BIGINT AS samples, NULL::BIGINT AS tokens,
+  NULL::BIGINT AS files, NULL::BIGINT AS retries, amount, shown FROM figures
+UNION ALL {_records("in progress", "active", "NULL", f"{counts}, NULL", "elapsed")}
+UNION ALL {_records("failed", "broken", "NULL", f"{none}, retries::BIGINT", "error")}
+UNION ALL {_records("status", "listed", "checkpoint_key", f"{counts}, retries::BIGINT", "status")}"""
+
+
+@query("progress_report", _report_sql(storage=True))
 def progress_report_query(spark, sf):
-    return report_lines(_state(spark, sf), inventory(spark, sf), _as_of())
+    return report_table(_state(spark, sf), text_files(spark, sf), _as_of())
+
+
+@query("report_stream", _report_sql(storage=False))
+def report_stream(spark, sf):
+    """The ledger arrives in four parts, not in the order of its numbers; the last refresh is the report."""
+    path = fresh_path(spark, "ledger")
+    rows = event_ledger(spark, sf)
+    parts = rows.repartition(4, F.xxhash64("seq")).sortWithinPartitions(F.desc("seq"))
+    parts.write.parquet(f"{path}/rows")
+    stream = ledger_stream(spark, f"{path}/rows", files_per_batch=1)
+    run = watch_report(stream, f"{path}/report", _as_of, seconds=None, checkpoint=f"{path}/checkpoint")
+    run.awaitTermination()
+    return read_current(spark, f"{path}/report")
 
 
 @query(

@@ -128,7 +128,7 @@ def document_lines(spark, sf):
     return documents(spark, sf).select("doc_id", F.explode(lines(F.col("text"))).alias("line"))
 
 
-def _text_files(spark, sf):
+def text_files(spark, sf):
     """The inventory of a text file for every dataset, a line for every document."""
     path = fresh_path(spark, "texts")
     line = F.translate("text", "\r\n", "  ").alias("line")
@@ -138,19 +138,19 @@ def _text_files(spark, sf):
 
 
 # A file holds its lines and a line end for each.
-_FILES = f"""{DOCS}, files AS (SELECT 'dataset=' || dataset AS folder,
+FILES = f"""{DOCS}, files AS (SELECT 'dataset=' || dataset AS folder,
   CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length FROM docs GROUP BY dataset)"""
 
 
-@query("storage_inventory", f"WITH {_FILES} SELECT folder, length FROM files")
+@query("storage_inventory", f"WITH {FILES} SELECT folder, length FROM files")
 def storage_inventory(spark, sf):
-    return _text_files(spark, sf).select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
+    return text_files(spark, sf).select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
 
 
 _UNITS = (("B", 0), ("KB", 1), ("MB", 2), ("GB", 3), ("TB", 4))
 
 
-def _sql_size(b: str) -> str:
+def sql_size(b: str) -> str:
     whens = " ".join(
         f"WHEN {b} < {float(1024 ** (p + 1))} THEN printf('%.2f {u}', {b} / {float(1024**p)})" for u, p in _UNITS
     )
@@ -159,12 +159,12 @@ def _sql_size(b: str) -> str:
 
 @query(
     "storage_stats",
-    f"""WITH {_FILES}, t AS (SELECT count(*) AS n_files, CAST(sum(length) AS BIGINT) AS total_bytes FROM files)
+    f"""WITH {FILES}, t AS (SELECT count(*) AS n_files, CAST(sum(length) AS BIGINT) AS total_bytes FROM files)
 SELECT n_files, total_bytes, CAST(total_bytes AS DOUBLE) / CAST(n_files AS DOUBLE) AS mean_bytes,
-  {_sql_size('CAST(total_bytes AS DOUBLE)')} AS total_size FROM t""",
+  {sql_size('CAST(total_bytes AS DOUBLE)')} AS total_size FROM t""",
 )
 def storage_stats(spark, sf):
-    return storage_totals(_text_files(spark, sf)).select(
+    return storage_totals(text_files(spark, sf)).select(
         "n_files", "total_bytes", "mean_bytes", format_size(F.col("total_bytes")).alias("total_size")
     )
 
@@ -332,7 +332,7 @@ def fertility_band_query(spark, sf):
 @query(
     "format_size",
     f"""WITH {SRC}, s AS (SELECT dataset, CAST(CAST(sum(octet_length(encode(text))) AS BIGINT) AS DOUBLE) AS b FROM src GROUP BY dataset)
-SELECT dataset, {_sql_size('b')} AS size, {_sql_size('(b * b)')} AS squared FROM s""",
+SELECT dataset, {sql_size('b')} AS size, {sql_size('(b * b)')} AS squared FROM s""",
 )
 def format_size_query(spark, sf):
     sums = all_sources(spark, sf).groupBy("dataset").agg(F.sum(F.octet_length("text")).alias("bytes"))
