@@ -282,3 +282,24 @@ def test_url_rules(spark):
     assert got[8][3] == "block" and got[9][3] == "allow" and got[10][2] is None
     assert url_filter.filter_urls(pages.limit(0), rules, blocked.limit(0)).count() == 0
     assert url_filter.filter_urls(pages, rules, blocked).count() == len(urls) + 1
+
+
+def test_a_list_of_several_cascades_joins_nothing(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_WORDS", 8)
+    rows = [(f"k{i}", f"k{i + 1}", i % 3 == 0, i) for i in range(400)] + [(None, "k3", False, -1), ("k0", None, True, -2)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean, part int")
+    universe = spark.createDataFrame([(f"k{i}", i % 3 == 0) for i in range(401)], "key string, listed boolean")
+    assert url_filter.parts_needed(universe) > 2
+    got = url_filter.mark_listed(df, {"a": df.a, "hit": df.b}, universe)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString() and got.columns == ["a", "b", "want", "part", "hit"]
+    for r in got.collect():
+        assert r.a == r.want and r.hit == (r.b is not None and int(r.b[1:]) % 3 == 0)
+    assert got.count() == len(rows)
+
+
+def test_url_helper_columns_do_not_clash(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/p", 5, "kept")], "page_id long, url string, _listed int, _key_1_1 string")
+    pages = pages.withColumn("_best", pages.page_id)
+    blocked = spark.createDataFrame([("x.net",)], "key string")
+    got = url_filter.filter_urls(pages, {"org/": "block"}, blocked).first()
+    assert (got["_listed"], got["_key_1_1"], got["_best"], got.verdict) == (5, "kept", 1, "block")

@@ -5,26 +5,37 @@ by mistake, level 2 the listed keys that pass level 1 by mistake, and so on unti
 left. A key is judged by the first level that it fails, so over the universe the answer is exact.
 All of it is DataFrame code: bit positions are ``xxhash64`` columns, a level is a ``bit_or``
 aggregate, and the test is an expression over a constant array.
+
+A level is sent to every task, so its size is bounded. Keys of a longer list are dealt by a hash to
+parts with a cascade each, and the rows of a part are judged by its cascade in a job of their own: a
+task never holds more than one cascade, however long the list.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from textloom.session import write_and_read
+from textloom.session import drop_path, fresh_path, read_table, write_and_read
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Bits a key and hashes, for level 0 and for the levels of mistakes.
 FIRST = (10, 5)
 LATER = (4, 2)
-# A level is sent to every task, so its words are bounded; longer lists are joined instead.
+# A level is sent to every task, so its words are bounded; longer lists are dealt to several cascades.
 MAX_WORDS = 1 << 17
 MAX_LEVELS = 64
+# Names the hash that deals keys to parts; level numbers, which name the others, are not negative.
+PART_SEED = -1
+# Share of a level's bound that parts are planned to fill: a hash does not deal them evenly.
+FILL = 0.75
 
 
 @dataclass(frozen=True)
@@ -122,23 +133,70 @@ def universe_of(keys: DataFrame, listed: DataFrame) -> DataFrame:
     return write_and_read(marked, "url-keys")
 
 
+def parts_needed(universe: DataFrame) -> int:
+    """Parts of the keys whose first two levels are expected to fit the bound."""
+    sizes = universe.agg(F.count_if("listed").alias("listed"), F.count_if(~F.col("listed")).alias("rest")).first()
+    per_key, hashes = FIRST
+    # A level with this many bits a key and hashes passes this share of other keys by mistake.
+    mistakes = sizes["rest"] * (1 - math.exp(-hashes / per_key)) ** hashes
+    words = max(sizes["listed"] * per_key, mistakes * LATER[0]) / 64
+    return 1 if words <= MAX_WORDS else math.ceil(words / (MAX_WORDS * FILL))
+
+
 def mark_listed(
     df: DataFrame, keys: Mapping[str, Column], universe: DataFrame, label: str = "cascade"
 ) -> DataFrame:
     """``df`` with a boolean column for every name in ``keys``: is that key listed in ``universe``?
 
-    The cascade does it inside the scan. A list too long for its bound is joined instead.
+    One cascade does it inside the scan. Where a list needs several, rows are written by the part of
+    their key, and each part is read back, judged by its cascade and written: no join and no shuffle.
+    A part that turns out too long has all keys dealt anew, to twice as many.
     """
-    try:
-        cascade = build_cascade(universe, label)
-    except TooLong:
-        listed = universe.where("listed").select("key")
-        for name, key in keys.items():
-            hit = listed.select(F.col("key").alias("_key"), F.lit(True).alias("_hit"))
-            df = df.withColumn("_wanted", key).join(hit, F.col("_wanted") == F.col("_key"), "left")
-            df = df.withColumn(name, F.coalesce("_hit", F.lit(False))).drop("_wanted", "_key", "_hit")
-        return df
-    return df.withColumns({name: cascade.contains(key) for name, key in keys.items()})
+    parts = parts_needed(universe)
+    while True:
+        try:
+            if parts == 1:
+                cascade = build_cascade(universe, label)
+                return df.withColumns({name: cascade.contains(key) for name, key in keys.items()})
+            return _mark_by_parts(df, keys, universe, parts, label)
+        except TooLong:
+            parts *= 2
+
+
+def _part(key: Column, parts: int) -> Column:
+    """The part of a key; null has one too."""
+    return F.pmod(F.xxhash64(F.lit(PART_SEED), key), F.lit(parts)).cast("int")
+
+
+def _write_parts(df: DataFrame, key: Column, parts: int, label: str) -> tuple[str, Callable[[int], DataFrame]]:
+    """``df`` written with a folder for every part of ``key``; returns the path and a reader of one part."""
+    spark, column = df.sparkSession, f"part_{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
+    df.withColumn(column, _part(key, parts)).write.partitionBy(column).parquet(path)
+    schema = StructType([*df.schema.fields, StructField(column, IntegerType())])
+    rows = read_table(spark, path, schema)
+    return path, lambda part: rows.where(F.col(column) == part).select(*df.columns)
+
+
+def _mark_by_parts(
+    df: DataFrame, keys: Mapping[str, Column], universe: DataFrame, parts: int, label: str
+) -> DataFrame:
+    spark = df.sparkSession
+    listed_path, listed = _write_parts(universe, F.col("key"), parts, f"{label}-keys")
+    named = {f"key_{uuid.uuid4().hex}": (name, key) for name, key in keys.items()}
+    # Keys are computed first: a name may replace a column that another key reads.
+    df = df.withColumns({column: key for column, (_, key) in named.items()})
+    for column, (name, _) in named.items():
+        path, rows = _write_parts(df, F.col(column), parts, f"{label}-rows")
+        out = fresh_path(spark, f"{label}-marked")
+        for part in range(parts):
+            cascade = build_cascade(listed(part), label)
+            marked = rows(part).withColumn(name, cascade.contains(F.col(column)))
+            marked.write.parquet(f"{out}/{part}")
+        df = spark.read.schema(marked.schema).option("recursiveFileLookup", True).parquet(out)
+        drop_path(spark, path)
+    drop_path(spark, listed_path)
+    return df.drop(*named)
 
 
 def url_host(url: Column) -> Column:
@@ -168,15 +226,16 @@ def filter_urls(
 
     The keys of a url are its host suffixes and path prefixes of the lengths that rules have. Both
     actions and the host list have a cascade each over all such keys of the corpus. Columns of the
-    same names are replaced, others are kept; repeated rows stay repeated.
+    same names are replaced, others are kept, whatever they are called; repeated rows stay repeated.
     """
+    own = f"url_{uuid.uuid4().hex}"
     parts = [rule.partition("/") for rule in rules]
     labels = sorted({host.count(".") + 1 for host, _, _ in parts})
     lengths = sorted({len(path) + 1 for _, _, path in parts})
     pages = pages.drop("host", "path", "rule", "verdict")
     pages = pages.withColumns({"host": url_host(F.col(url_col)), "path": url_path(F.col(url_col))})
     keys = {
-        f"_key_{n}_{m}": F.when(
+        f"{own}_key_{n}_{m}": F.when(
             F.length("path") >= m,
             F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, m)),
         )
@@ -192,7 +251,7 @@ def filter_urls(
     for action in ("allow", "block"):
         listed = [(rule,) for rule, a in rules.items() if a == action]
         universe = universe_of(all_keys, spark.createDataFrame(listed, "key string"))
-        marks = {f"_{action}{name}": F.col(name) for name in keys}
+        marks = {f"{name}_{action}": F.col(name) for name in keys}
         out = mark_listed(out, marks, universe)
         found += [
             F.when(
@@ -202,12 +261,13 @@ def filter_urls(
             for mark, key in marks.items()
         ]
     universe = universe_of(hosts.select(F.col("host").alias("key")), blocked_hosts)
-    out = mark_listed(out, {"_listed": F.col("host")}, universe)
+    out = mark_listed(out, {f"{own}_listed": F.col("host")}, universe)
     best = F.array_max(F.array_compact(F.array(*found)))
-    out = out.withColumn("_best", best)
-    verdict = F.coalesce("_best.verdict", F.when(F.col("_listed"), "block").otherwise("allow"))
+    out = out.withColumn(f"{own}_best", best)
+    other = F.when(F.col(f"{own}_listed"), "block").otherwise("allow")
+    verdict = F.coalesce(f"{own}_best.verdict", other)
     kept = [c for c in pages.columns]
-    return out.withColumns({"rule": F.col("_best.rule"), "verdict": verdict}).select(
+    return out.withColumns({"rule": F.col(f"{own}_best.rule"), "verdict": verdict}).select(
         *kept, "rule", "verdict"
     )
 
