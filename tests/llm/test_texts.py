@@ -148,6 +148,44 @@ def test_grammar_states():
     assert read("") == [] and len(read("idiot. " * 50)) == 50
 
 
+def test_toxicity_reads_elisions_objects_and_late_negations():
+    grammar = toxicity.Grammar(tuple((f"={w}", 0.9) for w in toxicity.INSULTS))
+
+    def read(text):
+        return [p for p, _ in grammar.patterns(text)]
+
+    assert read("l'imbécile") == read("L\u2019imbécile") == read("d'idiots") == ["insult"]
+    assert read("you don't look like an idiot") == read("you don\u2019t look like an idiot") == ["insult target"]
+    assert read("you aren\u2019t an idiot") == ["insult target negated"] and read("you're an idiot") == ["insult target"]
+    assert read("you'll kill time with him") == [] and read("I will kill all of them") == [] and read("I'll kill you") == ["threat target"]
+    assert read("Ich töte dich") == read("te voy a matar") == read("je vais te tuer") == ["threat target"]
+    assert read("Ich töte dich nicht") == ["threat target negated"]
+
+
+def test_toxicity_grammar_against_a_search_of_all_positions():
+    grammar = toxicity.Grammar((("=idiot", 0.9), ("vequ", 0.8)))
+    rng = np.random.default_rng(5)
+    kinds = {
+        "insult": ["idiot", "vequa", "l'idiot"], "threat": ["kill", "töte"], "target": ["you", "him"], "clitic": ["dich", "te"],
+        "negation": ["never", "don't"], "late": ["nicht", "pas"], "report": ["said"], "other": ["sky", "and", "tree", "blue"],
+    }
+
+    def brute(names):
+        at = {k: [i for i, n in enumerate(names) if n == k] for k in kinds}
+        objects, negations = at["target"] + at["clitic"], at["negation"] + at["late"]
+        aimed = any(1 <= o - t <= 2 for t in at["threat"] for o in objects) or any(1 <= t - o <= 3 for t in at["threat"] for o in at["clitic"])
+        core = "insult" if at["insult"] else "threat" if aimed else None
+        hits = at["insult"] + at["threat"]
+        negated = any(1 <= h - n <= 3 for h in hits for n in negations) or any(1 <= n - t <= 3 for t in at["threat"] for n in at["late"])
+        parts = [core, "target" * bool(objects), "negated" * negated, "reported" * bool(at["report"])]
+        return " ".join(p for p in parts if p) if core else None
+
+    for _ in range(3_000):
+        clauses = [[str(k) for k in rng.choice(list(kinds), rng.integers(1, 9))] for _ in range(3)]
+        text = ". ".join(" ".join(str(rng.choice(kinds[k])) for k in c) for c in clauses)
+        assert [p for p, _ in grammar.patterns(text)] == [p for p in map(brute, clauses) if p], text
+
+
 def test_toxicity_learns_stems_and_ignores_held_out_labels(spark):
     texts = [(i, f"plain words of day {i % 9} " + (f"zorg{'abcdefgh'[i % 8]}" if i % 4 == 0 else "calm")) for i in range(400)]
     docs = spark.createDataFrame([*texts, (None, None), (900, "")], "doc_id long, text string")

@@ -2,9 +2,10 @@
 
 Three layers are composed. A lexicon acceptor reads words and emits class symbols: insults are stems
 learned from labelled documents, threats, targets, negations and words of reported speech are short
-fixed lists. Five small transducers follow the symbols of a clause - insult, threat, target, negation,
-reported speech - and their product is one automaton whose state at the end of a clause names the
-pattern that was matched. A pattern has a weight, the smoothed share of toxic documents among the
+fixed lists. Small transducers follow the symbols of a clause - insult, aimed threat, target, negation
+before and behind, reported speech - and their product is one automaton whose state at the end of a
+clause names the pattern that was matched. Order and distance count: a threat needs its object close
+behind it, or an object pronoun close before it, and a negation must reach the word that it negates. A pattern has a weight, the smoothed share of toxic documents among the
 labelled ones that hold it, so a negated or reported insult counts as much as the labels say. A
 document's score unites its matched clauses as independent reasons.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate, product
 
@@ -30,9 +31,8 @@ from textloom.session import write_and_read
 # The model is fitted on at most this many labelled documents, chosen by a hash of their id.
 SAMPLE = 20_000
 # Stems: prefixes of these lengths and whole words; at least this many toxic documents, no more than
-# this share of clean ones among those that hold it; at most this many candidates and entries.
+# this share of clean ones among those that hold it.
 STEM_LENGTHS, LEAST_TOXIC, CLEAN_SHARE = (4, 5, 6, 7, 8), 3, 0.1
-CANDIDATES, ENTRIES = 4_000, 400
 # Features that may pass for insults by accident, expected over the whole sample.
 ACCIDENTS = 0.02
 # A word longer than this has only its prefixes as features.
@@ -47,12 +47,17 @@ INSULTS = """idiot idiots moron morons stupid dumb fool fools loser losers scum
 disgusting worthless imbecile jerk bastard pig filth idioten dummkopf trottel abschaum versager
 widerlich wertlos imbécil estúpido estúpida idiota basura payaso inútil asqueroso imbécile crétin
 abruti ordure minable débile""".split()
-THREATS = """kill hurt destroy punish beat burn shoot stab töten verletzen zerstören schlagen matar
-herir golpear quemar tuer blesser frapper brûler""".split()
-TARGETS = """you your yours he him his she her they them their du dich dir dein euch ihr sie ihn tú tu
-te ti usted ustedes él ella ellos vous votre toi ton il elle ils""".split()
-NEGATIONS = """not no never neither nor cannot isn't aren't wasn't don't nicht kein keine nie niemals
-nunca jamás ni ne pas jamais aucun""".split()
+THREATS = """kill hurt destroy punish beat burn shoot stab töten töte verletzen verletze zerstören zerstöre
+schlagen schlage matar mato mataré herir heriré golpear golpeo golpearé quemar quemo quemaré tuer tue
+tuerai blesser blesserai frapper frappe frapperai brûler brûlerai""".split()
+TARGETS = """you your yours he him his she her they them their du dein ihr sie tú tu
+ti usted ustedes él ella ellos votre toi ton il elle ils""".split()
+# Object pronouns, which may stand before the verb.
+CLITICS = "dich dir euch ihn te vous".split()
+NEGATIONS = """not no never neither nor cannot isn't aren't wasn't don't kein keine
+nunca jamás ni ne aucun""".split()
+# Negations that may also follow the verb.
+LATE_NEGATIONS = "nicht nie niemals pas jamais".split()
 REPORTS = """said says say told tells called calls wrote writes quoted claims claimed sagte sagt nannte
 schrieb behauptet dijo dice llamó escribió dit disait appelle écrit prétend""".split()
 
@@ -60,38 +65,62 @@ CLAUSE_ENDS = ".!?;:\n"
 CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-# A negation reaches this many words ahead.
-REACH = 3
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, CLITIC, LATE = range(8)
+# A negation reaches this many words ahead, one behind a threat as many back; the object of a threat is
+# at most so many words behind it, an object pronoun so many before it.
+REACH, OBJECT_BEHIND, OBJECT_BEFORE = 3, 2, 3
 
 
 def _insult(state: int, symbol: int) -> int:
     return state or int(symbol == INSULT)
 
 
-def _threat(state: int, symbol: int) -> int:
-    return state or int(symbol == THREAT)
-
-
 def _target(state: int, symbol: int) -> int:
-    return state or int(symbol == TARGET)
+    return state or int(symbol in (TARGET, CLITIC))
 
 
 def _report(state: int, symbol: int) -> int:
     return state or int(symbol == REPORT)
 
 
+_AIMED = 1 + OBJECT_BEHIND + OBJECT_BEFORE
+
+
+def _aim(state: int, symbol: int) -> int:
+    """1 to OBJECT_BEHIND: words in which a threat still finds its object; above, words in which an object
+    pronoun still finds its threat; _AIMED: it was found."""
+    if state == _AIMED:
+        return state
+    threat, pronoun = 1 <= state <= OBJECT_BEHIND, state > OBJECT_BEHIND
+    if symbol == THREAT:
+        return _AIMED if pronoun else OBJECT_BEHIND
+    if symbol in (TARGET, CLITIC) and threat:
+        return _AIMED
+    if symbol == CLITIC:
+        return OBJECT_BEHIND + OBJECT_BEFORE
+    return 0 if state in (0, 1, OBJECT_BEHIND + 1) else state - 1
+
+
 def _negation(state: int, symbol: int) -> int:
     """0 to REACH: words that the last negation still reaches; REACH + 1: it reached a match."""
     if state > REACH:
         return state
     if symbol in (INSULT, THREAT) and state:
         return REACH + 1
-    return REACH if symbol == NEGATION else max(0, state - 1)
+    return REACH if symbol in (NEGATION, LATE) else max(0, state - 1)
+
+
+def _late(state: int, symbol: int) -> int:
+    """0 to REACH: words in which a negation behind the last threat still counts; REACH + 1: it came."""
+    if state > REACH:
+        return state
+    if symbol == LATE and state:
+        return REACH + 1
+    return REACH if symbol == THREAT else max(0, state - 1)
 
 
 # (states, step) of each transducer.
-MACHINES = ((2, _insult), (2, _threat), (2, _target), (REACH + 2, _negation), (2, _report))
+MACHINES = ((2, _insult), (_AIMED + 1, _aim), (2, _target), (REACH + 2, _negation), (REACH + 2, _late), (2, _report))
 
 
 def compose() -> tuple[np.ndarray, list[str | None]]:
@@ -100,19 +129,20 @@ def compose() -> tuple[np.ndarray, list[str | None]]:
     number = {s: i for i, s in enumerate(states)}
     table = np.array(
         [
-            [number[tuple(step(x, symbol) for x, (_, step) in zip(s, MACHINES, strict=True))] for symbol in range(6)]
+            [number[tuple(step(x, symbol) for x, (_, step) in zip(s, MACHINES, strict=True))] for symbol in range(8)]
             for s in states
         ]
     )
     return table, [_pattern(*s) for s in states]
 
 
-def _pattern(insult: int, threat: int, target: int, negation: int, report: int) -> str | None:
-    """A threat counts only towards a target; an insult always."""
-    core = "insult" if insult else "threat" if threat and target else None
+def _pattern(insult: int, aim: int, target: int, negation: int, late: int, report: int) -> str | None:
+    """A threat counts only if it is aimed; an insult always."""
+    core = "insult" if insult else "threat" if aim == _AIMED else None
     if core is None:
         return None
-    parts = [core, "target" * target, "negated" * (negation > REACH), "reported" * report]
+    negated = negation > REACH or late > REACH
+    parts = [core, "target" * target, "negated" * negated, "reported" * report]
     return " ".join(p for p in parts if p)
 
 
@@ -133,7 +163,8 @@ class Grammar:
     """The composed grammar, ready to read texts."""
 
     def __init__(self, entries: tuple[tuple[str, float], ...]) -> None:
-        self.words = {w: s for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        lists = ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (CLITIC, CLITICS), (LATE, LATE_NEGATIONS))
+        self.words = {w: s for s, ws in lists for w in ws}
         self.words |= dict.fromkeys(THREATS, THREAT)
         self.whole = {e[1:]: w for e, w in entries if e[0] == "="}
         self.stems = {e: w for e, w in entries if e[0] != "="}
@@ -145,17 +176,20 @@ class Grammar:
         self.rows = TABLE.tolist()
 
     def read(self, word: str) -> tuple[int, float]:
-        """The class symbol of a word and its weight."""
-        best = max((self.stems.get(word[:n], 0.0) for n in self.lengths), default=0.0)
-        best = max(best, self.whole.get(word, 0.0))
+        """The class symbol of a word and its weight. Both sides of an apostrophe are read where the whole
+        has no entry: the noun of an elision, the pronoun of a contraction."""
+        pieces = word.split("'")
+        best = max((self.stems.get(p[:n], 0.0) for p in pieces for n in self.lengths), default=0.0)
+        best = max(best, *(self.whole.get(p, 0.0) for p in pieces))
         if best:
             return INSULT, best
-        symbol = self.words.get(word, OTHER)
+        known = [self.words.get(w, OTHER) for w in (word, *pieces)]
+        symbol = THREAT if THREAT in known else next((k for k in known if k), OTHER)
         return symbol, THREAT_WEIGHT * (symbol == THREAT)
 
     def patterns(self, text: str) -> list[tuple[str, float]]:
         """Pattern and weight of every clause that matches one. Only clauses with a lexicon hit are read."""
-        text = text.lower()
+        text = fold(text)
         found, done = [], 0
         for last, length in self.search.iter(text):
             start = last - length + 1
@@ -177,10 +211,15 @@ class Grammar:
         return (PATTERNS[state], best) if PATTERNS[state] else None
 
 
+def fold(text: str) -> str:
+    """Lower case, with one kind of apostrophe."""
+    return text.lower().replace("\u2019", "'")
+
+
 def features(text: str) -> set[str]:
-    """Whole words (marked by ``=``) and word prefixes of the lengths of stems."""
+    """Whole words (marked by ``=``) and word prefixes of the lengths of stems; an apostrophe parts words."""
     out = set()
-    for word in set(WORD.findall(text.lower())):
+    for word in {piece for word in WORD.findall(fold(text)) for piece in word.split("'")}:
         if len(word) <= LONGEST_WORD:
             out.add("=" + word)
         out.update(word[:n] for n in STEM_LENGTHS if n <= len(word))
@@ -226,23 +265,28 @@ def _tail(toxic: int, clean: int, share: float) -> float:
     )
 
 
-def _entries(
-    counted: list[tuple[str, int, int]], rivals: dict[int, int], share: float
-) -> dict[str, float]:
-    """The features that are no accident among their rivals, without those that others make needless.
+def _no_accidents(
+    rivals: dict[int, int], share: float
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keeps the features that are no accident among their rivals; ``rivals`` has the number of features by
+    the number of documents that hold them, at most SAMPLE entries."""
+    sizes = sorted(rivals, reverse=True)
+    many = dict(zip(sizes, accumulate(rivals[n] for n in sizes), strict=True))
 
-    ``counted`` has (feature, toxic, clean) by falling toxic count; ``rivals`` the number of features by
-    the number of documents that hold them.
-    """
-    sizes = sorted(rivals)
-    total = sum(rivals.values())
-    below = dict(zip(sizes, accumulate(rivals[n] for n in sizes), strict=True))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = zip(batch.column("toxic").to_pylist(), batch.column("clean").to_pylist(), strict=True)
+            kept = [_tail(t, c, share) * many[t + c] <= ACCIDENTS for t, c in counts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return keep
+
+
+def _entries(counted: Iterable[tuple[str, int, int]]) -> dict[str, float]:
+    """The features that others do not make needless; (feature, toxic, clean) by falling toxic count."""
     out: dict[str, float] = {}
     taken: dict[str, int] = {}  # every prefix of an entry, and the largest count of such an entry
     for feature, toxic, clean in counted:
-        many = total - below[toxic + clean] + rivals[toxic + clean]
-        if len(out) == ENTRIES or _tail(toxic, clean, share) * many > ACCIDENTS:
-            continue
         word = feature.lstrip("=")
         if any(word[:n] in out for n in STEM_LENGTHS) or toxic <= 1.2 * taken.get(word, 0):
             continue
@@ -267,7 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
     """The model of ``labels`` (id, toxic), learned from at most ``SAMPLE`` documents.
 
     Held-out ids and null labels are left out; of several labels of an id the highest counts. What
-    reaches the driver is bounded by ``SAMPLE``, ``CANDIDATES`` and the number of patterns.
+    reaches the driver are the features of the sample that are no accident and a row a pattern: it
+    grows with ``SAMPLE``, not with the corpus, and no feature is cut off.
     """
     sample = (
         labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -291,13 +336,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
         counts = write_and_read(counts.where(F.col("toxic") >= LEAST_TOXIC), "toxic-features")
         n = F.col("toxic") + F.col("clean")
         found = counts.where(F.col("clean") <= F.lit(CLEAN_SHARE) * n)
-        found = found.orderBy(F.desc("toxic"), F.desc(F.length("feature")), "feature").limit(CANDIDATES)
         rivals = counts.groupBy(n.alias("n")).count().collect()  # one row a size, at most SAMPLE
-        entries |= _entries(
-            [(r["feature"], r["toxic"], r["clean"]) for r in found.collect()],
-            {r["n"]: r["count"] for r in rivals},
-            sizes[True] / sum(sizes.values()),
-        )
+        share = sizes[True] / sum(sizes.values())
+        test = _no_accidents({r["n"]: r["count"] for r in rivals}, share)
+        found = found.mapInArrow(test, "feature string, toxic long, clean long")
+        found = found.orderBy(F.desc("toxic"), F.desc(F.length("feature")), "feature").collect()
+        entries |= _entries((r["feature"], r["toxic"], r["clean"]) for r in found)
     return _weigh(chosen, tuple(sorted(entries.items())))
 
 
