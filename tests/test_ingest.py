@@ -139,3 +139,77 @@ def test_a_number_is_taken_once(spark, codec, source, tmp_path):
     unit = I.Unit("p1", "a", None, False, "body")
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         I._append(spark, output, unit, seq=1_024, op="commit")
+
+
+def running(spark, output):
+    rows = I.stored_ledger(spark, output).where("op = 'commit' AND batch_id >= 0").orderBy("seq").collect()
+    return [(r.total_samples_processed, bool(r.completed), r.step) for r in rows]
+
+
+INTERVALS = IngestOptions(min_chars=3, complete=True, interval=3, step_intervals=2)
+
+
+@pytest.mark.parametrize("streaming", [True, False])
+def test_a_ledger_row_every_few_samples(spark, codec, source, tmp_path, streaming):
+    output, sets = str(tmp_path / "out"), catalog(spark, ("a", None, streaming))
+    assert I.run_catalog(spark, sets, {"a": layout(source)}, codec, output, INTERVALS) == {}
+    want = [(n, n == 20 and not streaming, i // 2) for i, n in enumerate((3, 6, 9, 12, 15, 18, 20))]
+    assert running(spark, output) == want
+    assert state(spark, output) == {("a", None): (20, True, False)}
+    assert sorted(i for _, _, i in ids(spark, output)) == list(range(20))
+    plain = str(tmp_path / "plain")
+    I.run_catalog(spark, sets, {"a": layout(source)}, codec, plain, OPTIONS)
+    columns = ["doc_id", "input_ids", "attention_mask", "labels", "length", "language"]
+    assert I.read_ingested(spark, output).select(*columns).exceptAll(I.read_ingested(spark, plain).select(*columns)).isEmpty()
+    tokens = [I.stored_ledger(spark, o).agg(F.max("total_tokens_processed")).first()[0] for o in (output, plain)]
+    assert tokens[0] == tokens[1]
+
+
+@pytest.mark.parametrize("streaming", [True, False])
+@pytest.mark.parametrize("again", [INTERVALS, OPTIONS])
+def test_a_stopped_batch_goes_on_after_its_last_step(spark, codec, source, tmp_path, monkeypatch, streaming, again):
+    """Steps that were committed are not encoded again, and the others are, whatever the source now holds."""
+    output, sets = str(tmp_path / "out"), catalog(spark, ("a", None, streaming))
+    append, write, steps = I._append_rows, I.write_records, []
+
+    def stop(spark_, output_, unit, rows, replay=False):
+        if rows[0].get("step") == 2:
+            raise RuntimeError("stopped")
+        append(spark_, output_, unit, rows, replay)
+
+    def note(records, path, **options):
+        steps.append(path.rsplit("=", 1)[1])
+        write(records, path, **options)
+
+    monkeypatch.setattr(I, "_append_rows", stop)
+    monkeypatch.setattr(I, "write_records", note)
+    errors = I.run_catalog(spark, sets, {"a": layout(source)}, codec, output, INTERVALS, retries=0)
+    assert len(errors) == 1 and state(spark, output) == {("a", None): (12, False, True)}
+    kept = ids(spark, output)
+    assert len(kept) == 12 and steps == ["0", "1", "2"]
+    monkeypatch.setattr(I, "_append_rows", append)
+    assert I.run_catalog(spark, sets, {"a": layout(source)}, codec, output, again) == {}
+    # The wider steps of the other options take what is left in one.
+    assert steps == ["0", "1", "2", "2", "3"][: 5 if again is INTERVALS else 4]
+    assert state(spark, output) == {("a", None): (20, True, False)}
+    assert sorted(i for _, _, i in ids(spark, output)) == list(range(20)) and set(kept) <= set(ids(spark, output))
+    numbers = I.stored_ledger(spark, output).groupBy("seq").count().where("count > 1").count()
+    assert numbers == 0 and not (tmp_path / "out" / "staged" / f"unit={unit_of(streaming)}" / "generation=0" / "batch_id=0").exists()
+
+
+def unit_of(streaming):
+    return I.Unit("p1", "a", None, streaming, "body").name
+
+
+def test_intervals_with_a_quota_repeated_rows_and_nothing(spark, codec, source, tmp_path):
+    spark.read.parquet(source).withColumn("id", F.lit(7)).coalesce(1).write.mode("append").parquet(source)
+    output, sets = str(tmp_path / "out"), catalog(spark, ("a", None, False))
+    options = IngestOptions(min_chars=3, complete=True, interval=4, max_samples=26)
+    I.run_catalog(spark, sets, {"a": layout(source)}, codec, output, options)
+    assert [n for n, _, _ in running(spark, output)] == [4, 8, 12, 16, 20, 24, 26]
+    assert len(ids(spark, output)) == 26
+    empty = str(tmp_path / "empty")
+    I.run_catalog(spark, sets, {"a": layout(source)}, codec, empty, IngestOptions(min_chars=999, complete=True, interval=4))
+    assert running(spark, empty) == [(0, True, 0)] and ids(spark, empty) == []
+    with pytest.raises(ValueError):
+        I.run_catalog(spark, sets, {"a": layout(source)}, codec, empty, IngestOptions(interval=0))

@@ -12,6 +12,7 @@ from textloom.queries.base import PHASE, PHASE_2, query, vocabulary
 from textloom.queries.bpe_sql import encoding
 from textloom.session import fresh_path
 from textloom.sources.catalog import CATALOG_SCHEMA
+from textloom.streaming.ingest import CHECKPOINT_SAMPLES, IngestOptions
 
 PHASE_3 = "phase3_function_calling"
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -109,3 +110,44 @@ def reset_ingest(spark, sf):
     I.run_catalog(spark, rest, _layouts(sf), codec, output)
     I.delete(spark, output, PHASE, "documents", "fr")
     return _counted(spark, output)
+
+
+def _interval_sql(interval: int) -> str:
+    """A ledger row for every full interval and one for what is left."""
+    return f"""WITH {_UNITS}, {encoding('texts')},
+sizes AS (SELECT phase, dataset_name, count(*) AS n, CAST(sum(least(len(ids), 2048)) AS BIGINT) AS tokens
+  FROM enc JOIN texts USING (k) GROUP BY phase, dataset_name),
+marks AS (SELECT *, unnest(range(1, CAST(ceil(n / {interval}.0) AS BIGINT) + 1)) AS i FROM sizes)
+SELECT phase, dataset_name, least(i * {interval}, n) AS samples, i * {interval} >= n AS completed,
+  CASE WHEN i * {interval} >= n THEN tokens END AS tokens FROM marks"""
+
+
+def _interval_commits(spark, sf, interval):
+    output = fresh_path(spark, "ingest")
+    options = IngestOptions(complete=True, interval=interval)
+    whole = _catalog(spark, streaming=False).withColumn("subsets", F.lit(None).cast("array<string>"))
+    I.run_catalog(spark, whole, _layouts(sf), _codec(spark, sf), output, options)
+    commits = I.stored_ledger(spark, output).where("op = 'commit' AND batch_id >= 0")
+    streams = F.col("phase") == PHASE_3
+    # A stream is marked as completed by a row of its own; its last commit has all of its samples.
+    totals = commits.groupBy("phase").agg(F.max("total_samples_processed").alias("all"))
+    done = F.when(streams, F.col("total_samples_processed") == F.col("all")).otherwise(F.col("completed"))
+    return commits.join(totals, "phase").select(
+        "phase",
+        "dataset_name",
+        F.col("total_samples_processed").alias("samples"),
+        done.alias("completed"),
+        F.when(done, F.col("total_tokens_processed")).alias("tokens"),
+    )
+
+
+@query("interval_commits", _interval_sql(CHECKPOINT_SAMPLES))
+def interval_commits(spark, sf):
+    """Ingest with a ledger row every 1,000 samples of a unit."""
+    return _interval_commits(spark, sf, CHECKPOINT_SAMPLES)
+
+
+@query("interval_commits_fine", _interval_sql(64))
+def interval_commits_fine(spark, sf):
+    """The same with a ledger row every 64 samples."""
+    return _interval_commits(spark, sf, 64)

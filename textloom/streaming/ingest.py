@@ -45,7 +45,9 @@ class IngestOptions:
     """What to ingest and how.
 
     ``max_samples`` is a quota per dataset over the whole stream. ``complete`` marks all datasets
-    as completed when a run has taken in everything there is.
+    as completed when a run has taken in everything there is. ``interval`` is the number of samples
+    between two ledger rows and ``step_intervals`` how many of them are written together; both are
+    for the ingest of a catalogue, where a unit's batch is one commit if ``interval`` is not set.
     """
 
     phases: list[str] | None = None
@@ -56,6 +58,8 @@ class IngestOptions:
     markers: bool = False
     max_samples: int | None = None
     complete: bool = False
+    interval: int | None = None
+    step_intervals: int = 1_024
 
 
 def stream_files(
@@ -255,6 +259,8 @@ def run_ingest(
     Returns how often it was restarted.
     """
     options = options or IngestOptions()
+    if options.interval is not None:
+        raise ValueError("interval is an option of the ingest of a catalogue")
     spark = documents.sparkSession
     attempt, batches = 0, set()
     broken: list[DataFrame | None] = []
