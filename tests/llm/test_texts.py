@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -117,6 +118,26 @@ def test_pieces_equal_one_merge_at_a_time(dropout):
         assert pieces.decode(own) == text
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_pieces_of_long_words_equal_one_merge_at_a_time(dropout):
+    """Words far beyond LONG_WORD, with and without places that no piece runs over, behind other words."""
+    encoder = pieces.Encoder(pieces.MODEL, dropout, 3)
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/="
+    texts = ["".join(draw.choices("etaoins", k=150)), "x " + "".join(draw.choices(letters, k=150)) + " y"]
+    texts += ["".join(draw.choices("\u4f60\u597d\u4e16ab\u2581", k=120)), "a" * 120, "=" * 70 + "\U0001f600" * 30]
+    ids, counts = encoder.encode(texts, [7, 8, 9, 10, 11])
+    for text, key, part in zip(texts, [7, 8, 9, 10, 11], np.split(ids, np.cumsum(counts)[:-1])):
+        assert part.tolist() == _brute_agenda(text, key, encoder)
+        assert pieces.decode(part.tolist()) == text
+
+
+def test_a_column_called_like_the_helper_is_kept(spark):
+    rows = spark.createDataFrame([(1, "some text", "a")], "doc_id bigint, text string, _key string")
+    encoded = pieces.encode_documents(rows)
+    assert encoded.columns == ["doc_id", "text", "_key", "ids"] and encoded.first()["_key"] == "a"
+
+
 def test_without_dropout_pieces_equal_the_library():
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     texts = [t for t in TEXTS if "▁" not in t]

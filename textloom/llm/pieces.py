@@ -7,7 +7,8 @@ for good when a keyed hash of (seed, document, its two ends, the piece) falls be
 segmentation varies over documents and places but is the same on every run.
 
 The agenda of all short words of a batch is worked through together with array arithmetic, one merge
-a word and round; a long word has a heap of its own.
+a word and round. A long word is cut wherever two code points meet that no piece has side by side, which
+changes no merge; a part that is still long has a heap of its own.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ TOGETHER = 1 << 18
 WORD_SIZES = (4, 8, 12, 16, 24, 48)
 LONG_WORD, POSITIONS = WORD_SIZES[-1], 64
 NEVER = np.int32(2**31 - 1)
+# Odd factors of the keyed hash of a candidate.
+_START, _END, _PIECE = 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93
+_MASK = (1 << 64) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -39,6 +43,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _dropped_one(salt: int, start: int, end: int, piece: int, limit: int) -> bool:
+    """``Encoder._dropped`` for a single candidate."""
+    spot = (start * _START + end * _END + piece * _PIECE) & _MASK ^ salt
+    spot = (spot ^ spot >> 32) * _PIECE & _MASK
+    return spot >> 32 < limit
+
+
 class Pieces:
     """The tables of a SentencePiece BPE model, read from its public file."""
 
@@ -77,6 +88,11 @@ class Pieces:
                 a, b = plain.get(piece[:k]), plain.get(piece[k:])
                 if a is not None and b is not None:
                     pairs[a * (size + 1) + b + 1] = i
+        # Adjacent code points of all pieces: a word can be cut between any others without a change.
+        inside = {ord(a) << 21 | ord(b) for piece in plain for a, b in zip(piece, piece[1:])}
+        self.inside = np.array(sorted(inside), np.int64)
+        # The same pairs and ranks as plain numbers, for words that are merged one pair at a time.
+        self.pairs, self.ranks = pairs, self.rank.tolist()
         self._table(pairs)
 
     def _table(self, pairs: dict[int, int]) -> None:
@@ -166,6 +182,7 @@ class Encoder:
         starts = spaces.copy()
         starts[1:] &= ~spaces[:-1]
         starts[heads] = True
+        self._cut_long(points, starts)
         owner = np.repeat(np.arange(len(texts)), lengths)
         salt = _mix(np.array([k & ((1 << 64) - 1) for k in keys], np.uint64) + np.uint64(self.seed))
         out = np.full(n, -2, np.int32)  # -2: inside a piece, -1: written as bytes
@@ -185,13 +202,25 @@ class Encoder:
             self._heap(symbols[a:b], int(place[a]), salt[owner[a]], out[a:b])
         return self._flatten(out, points, owner, len(texts))
 
+    def _cut_long(self, points: np.ndarray, starts: np.ndarray) -> None:
+        """Begin a word wherever no piece can run over a place inside a long word."""
+        first = np.flatnonzero(starts)
+        long = np.diff(np.append(first, len(points))) > LONG_WORD
+        if not long.any() or not len(self.p.inside):
+            return
+        inner = np.flatnonzero(np.repeat(long, np.diff(np.append(first, len(points)))) & ~starts)
+        keys = points[inner - 1].astype(np.int64) << 21 | points[inner]
+        known = self.p.inside
+        found = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+        starts[inner[~found]] = True
+
     def _dropped(self, salt, start, end, piece) -> np.ndarray:
-        spot = np.asarray(start, np.int64).view(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        spot += np.asarray(end, np.int64).view(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-        spot += np.asarray(piece, np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        spot = np.asarray(start, np.int64).view(np.uint64) * np.uint64(_START)
+        spot += np.asarray(end, np.int64).view(np.uint64) * np.uint64(_END)
+        spot += np.asarray(piece, np.int64).view(np.uint64) * np.uint64(_PIECE)
         spot ^= salt
         spot ^= spot >> np.uint64(32)
-        spot *= np.uint64(0xD6E8FEB86659FD93)
+        spot *= np.uint64(_PIECE)
         return (spot >> np.uint64(32)) < self.limit
 
     def _rate(self, a, b, salt, start, end, offset) -> tuple[np.ndarray, np.ndarray]:
@@ -262,41 +291,34 @@ class Encoder:
         out[flat[:-1][inside[:-1]]] = sym.reshape(rows + 1, n)[:-1][inside[:-1]]
 
     def _heap(self, symbols: np.ndarray, offset: int, salt: np.uint64, out: np.ndarray) -> None:
-        """The agenda of one long word."""
+        """The agenda of one long word: rated at once with arrays, then pair by pair in plain numbers."""
         p = self.p
-        n = len(symbols)
+        n, width, limit, salt_ = len(symbols), p.size + 1, int(self.limit), int(salt)
+        pairs, ranks = p.pairs, p.ranks
         sym = symbols.tolist()
         after, before, stop = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda: list[tuple[int, int, int, int]] = []
-
-        def push(pairs: list[int]) -> None:
-            a = np.array(pairs)
-            right = np.array([after[i] for i in pairs])
-            ends = np.array([stop[j] for j in right])
-            piece, rank = self._rate(
-                np.array([sym[i] for i in pairs], np.int32),
-                np.array([sym[j] for j in right], np.int32),
-                np.full(len(a), salt),
-                a,
-                ends,
-                np.full(len(a), offset),
-            )
-            for i in np.flatnonzero(rank < NEVER).tolist():
-                heapq.heappush(agenda, (int(rank[i]), pairs[i], int(ends[i]), int(piece[i])))
-
-        push(list(range(n - 1)))
+        at = np.arange(n - 1)
+        piece, rank = self._rate(symbols[:-1], symbols[1:], np.full(n - 1, salt), at, at + 2, np.full(n - 1, offset))
+        able = np.flatnonzero(rank < NEVER)
+        agenda = list(zip(rank[able].tolist(), able.tolist(), (able + 2).tolist(), piece[able].tolist()))
+        heapq.heapify(agenda)
         while agenda:
-            _, i, end, piece = heapq.heappop(agenda)
+            _, i, end, union = heapq.heappop(agenda)
             j = after[i] if sym[i] != -2 else n
             # Still the pair that was pushed: both ends are where they were.
-            if j >= n or stop[j] != end or piece != int(p.union(*np.array([[sym[i]], [sym[j]]], np.int32))[0]):
+            if j >= n or stop[j] != end or pairs.get(sym[i] * width + sym[j] + 1) != union:
                 continue
-            sym[i], sym[j], stop[i], after[i] = piece, -2, end, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            pairs = [k for k in (before[i],) if k >= 0] + ([i] if after[i] < n else [])
-            if pairs:
-                push(pairs)
+            k = after[j]
+            sym[i], sym[j], stop[i], after[i] = union, -2, end, k
+            if k < n:
+                before[k] = i
+            for left, right in ((before[i], i), (i, k)):
+                if left < 0 or right >= n:
+                    continue
+                found = pairs.get(sym[left] * width + sym[right] + 1)
+                if found is None or (limit and _dropped_one(salt_, left + offset, stop[right] + offset, found, limit)):
+                    continue
+                heapq.heappush(agenda, (ranks[found], left, stop[right], found))
         out[:] = sym
 
     def _flatten(self, out, points, owner, n_texts) -> tuple[np.ndarray, np.ndarray]:
@@ -335,17 +357,21 @@ def encode_documents(
     a null id counts as a key of its own. A null text counts as the empty one, which has no ids. Other
     columns are kept, one called ids is replaced, and repeated rows stay repeated.
     """
-    docs = docs.drop("ids", "_key").withColumn("_key", F.xxhash64(F.col(id_col).cast("string")))
-    schema = StructType([*docs.drop("_key").schema.fields, StructField("ids", ArrayType(IntegerType()))])
+    docs = docs.drop("ids")
+    schema = StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))])
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    docs = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("string")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, dropout, seed)
         for batch in batches:
             for part in _slices(batch):
                 texts = part.column("text").fill_null("").to_pylist()
-                ids, counts = encoder.encode(texts, part.column("_key").to_pylist())
+                ids, counts = encoder.encode(texts, part.column(key).to_pylist())
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                rows = part.drop_columns(["_key"])
+                rows = part.drop_columns([key])
                 arrays = [*rows.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
                 yield pa.RecordBatch.from_arrays(arrays, [*rows.schema.names, "ids"])
 
