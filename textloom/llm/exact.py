@@ -30,6 +30,8 @@ def _side_session(spark: SparkSession) -> SparkSession:
     side = spark.newSession()
     side.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     side.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    # Each store reserves megabytes for its logs otherwise, whatever it holds, and there is one a partition.
+    side.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return side
 
 
