@@ -269,3 +269,20 @@ def test_the_trained_vocabulary_equals_the_library(spark, small):
     texts = {(r.dataset, r.doc_id): r.text or "" for r in all_sources(spark, small).collect()}
     for row in trained.trained_encoding(spark, small).collect():
         assert row.input_ids == " ".join(map(str, tok.encode(texts[row.dataset, row.doc_id]).ids))
+
+
+def test_bracketed_specials_are_cut_without_looking_around(spark):
+    """The pieces of a text are those of a cut before and behind every special token, and no pattern looks
+    around at each character for them."""
+    texts = [*EDGES, None, "<|pad|>", "<|pad|><|pad|>x", "a<|pad|", "<<|bos|>>", "<|<|eos|>|>", "x\n<|user|>\n", "<|code|>" * 3]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    literal = "|".join(map(re.escape, P.SPECIAL_TOKENS))
+    cut = P.segments(F.col("t"))
+    for row in df.select("t", cut.alias("parts")).collect():
+        parts = [row.t] if row.t is None or "<|" not in row.t else [x for x in re.split(f"({literal})", row.t) if x]
+        assert row.parts == parts
+    plan = df.select(cut)._jdf.queryExecution().analyzed().toString()
+    assert "(?=" not in plan and "(?<=" not in plan
+    # Special tokens that can overlap are still cut at each place where one begins or ends.
+    odd = spark.createDataFrame([("<a<a>b",)], "t string").select(P.segments(F.col("t"), ("<a<a>", "<a>b")).alias("p"))
+    assert odd.first().p == ["<a", "<a>", "b"]
