@@ -81,3 +81,42 @@ def test_normal_forms_of_many_rows(spark):
     df = spark.range(0, 1500, 1, 1).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("ﬁ"), "id")).alias("t"))
     rows = df.select("id", T.nfkc(F.col("t")).alias("n")).collect()
     assert [(r.id, r.n) for r in rows] == [(i, f"fi{i}" if i % 7 else None) for i in range(1500)]
+
+
+def random_merges(rng, letters, n):
+    """Merges of random neighbours, by rank; each makes a new symbol."""
+    ranks, symbols = {}, list(range(letters))
+    while len(ranks) < n:
+        pair = (rng.choice(symbols), rng.choice(symbols))
+        if pair not in ranks:
+            ranks[pair] = (len(ranks), len(symbols))
+            symbols.append(len(symbols))
+    return ranks, len(symbols)
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_words_merged_side_by_side_equal_one_at_a_time(monkeypatch, dense):
+    """No short word is merged on its own, and the ids are those of merging it alone."""
+    monkeypatch.setattr(K, "PAIR_TABLE", 1 << 21 if dense else 0)
+    monkeypatch.setattr(K, "MERGED_SYMBOLS", 500)
+    rng, byte_id = random.Random(5), [b % 3 for b in range(256)]
+    for n_merges in (0, 1, 6, 40):
+        ranks, n_tokens = random_merges(rng, 3, n_merges)
+        table = K.MergeTable.of(ranks, n_tokens)
+        assert table.dense == dense
+        words = [bytes(rng.choice((0, 1, 2, 2)) for _ in range(rng.choice((0, 1, 2, 7, 30, 64)))) for _ in range(400)]
+        words += [b"\x00" * n for n in range(1, 65)]
+        wanted = [K.merge_symbols([byte_id[b] for b in w], ranks) for w in words]
+        with monkeypatch.context() as only:
+            only.setattr(K, "merge_symbols", lambda symbols, _: [] if not symbols else pytest.fail("one at a time"))
+            assert K.merge_words(words, byte_id, ranks, table) == wanted
+        long = [w * 5 for w in words]
+        assert K.merge_words(long, byte_id, ranks, table) == [K.merge_symbols([byte_id[b] for b in w], ranks) for w in long]
+
+
+def test_merges_that_make_earlier_pairs_are_done_one_at_a_time():
+    """Here 4 is made by the last merge too, after a merge that takes it: a step cannot hold all places."""
+    ranks = {(0, 1): (0, 4), (4, 2): (1, 5), (2, 3): (2, 4)}
+    assert K.MergeTable.of(ranks, 6) is None
+    assert K.merge_words([bytes([2, 3, 2]), b""], list(range(256)), ranks, None) == [[5], []]
+    assert K.MergeTable.of({(0, 1): (0, 4), (2, 3): (0, 5)}, 6) is None
