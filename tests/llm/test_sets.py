@@ -160,6 +160,66 @@ def test_a_family_of_levels_decides_as_one_array():
             assert suffixes.kept_bytes(text, both["start"], both["count"]) == want
 
 
+def _scanned(arrays, monkeypatch):
+    """(entries that scans of levels read, decisions) when a bucket gets the arrays."""
+    read, mark = [], suffixes.Family._mark
+    monkeypatch.setattr(suffixes.Family, "_mark", staticmethod(lambda a, b: (read.append(len(a["core"])), mark(a, b))[1]))
+    rows = [(0, 0, suffixes.pack(a)) for a in arrays]
+    found = [suffixes.unpack(b.as_py(), suffixes.RUN, steps=True) for out in suffixes._scan(iter([suffixes._blobs(rows)]), 1) for b in out.column("blob")]
+    monkeypatch.undo()
+    return sum(read), sorted(zip(*(suffixes.join(found)[k].tolist() for k in ("doc", "tag", "start", "count", "marked")), strict=True))
+
+
+def test_a_scan_reads_no_more_when_entries_come_in_more_arrays(monkeypatch):
+    rng = np.random.default_rng(10)
+    base = rng.integers(97, 101, 9_000).astype(np.uint8).tobytes()
+    texts = [(i, 0, b"%d" % i + base[a : a + 900]) for i, a in enumerate(rng.integers(0, 8_000, 128).tolist())]
+    arrays = [suffixes.settle(suffixes.ordered(suffixes.entries([t])))[0] for t in texts]
+    few = [suffixes.ordered(suffixes.join(arrays[i : i + 32])) for i in range(0, 128, 32)]
+    (much, one), (more, other) = _scanned(few, monkeypatch), _scanned(arrays, monkeypatch)
+    assert one and one == other
+    assert more <= much
+
+
+def test_packed_columns_of_any_size_come_back():
+    rng = np.random.default_rng(11)
+    for n in (0, 1, 7, 100, 5_000):
+        for steps in (False, True):
+            columns = {name: rng.integers(0, 1 << 32 if kind[1] != "1" else 2, n).astype(kind) for name, kind in suffixes.RUN.items()}
+            blob = suffixes.pack(columns, steps=steps)
+            back = suffixes.unpack(blob, suffixes.RUN, steps=steps)
+            assert suffixes.packed_rows(blob) == n
+            assert all((back[k] == columns[k]).all() and back[k].dtype == columns[k].dtype for k in columns)
+
+
+def test_overlapping_runs_of_copies_are_joined():
+    rows = [(1, 0, 0, 10, 0), (1, 0, 5, 2, 0), (1, 0, 10, 1, 0), (1, 0, 12, 3, 0), (1, 0, 12, 3, 0), (1, 0, 30, 1, 1), (2, 0, 0, 1, 0)]
+    columns = {k: np.array([r[i] for r in rows[::-1]], kind) for i, (k, kind) in enumerate(suffixes.RUN.items())}
+    got = suffixes._Decisions([columns]).columns
+    want = [(1, 0, 0, 11, 0), (1, 0, 12, 3, 0), (1, 0, 30, 1, 1), (2, 0, 0, 1, 0)]
+    assert list(zip(*(got[k].tolist() for k in suffixes.RUN), strict=True)) == want
+
+
+def test_windows_compared_in_turns_are_the_same(monkeypatch):
+    rng = np.random.default_rng(12)
+    one = rng.integers(0, 900, 3_000).astype(np.uint64) << np.uint64(50)
+    two = (one >> np.uint64(51)).astype(np.uint32)
+    place = {"doc": rng.integers(0, 40, 3_000), "tag": np.zeros(3_000, np.uint32), "start": rng.integers(0, 500, 3_000).astype(np.uint32)}
+    windows = {"one": one, "two": two} | place
+    least: dict = {}
+    for a, b, d in zip(one.tolist(), two.tolist(), place["doc"].tolist(), strict=True):
+        least[a, b] = min(d, least.get((a, b), d))
+    want = {
+        (d, s) for a, b, d, s in zip(*(windows[k].tolist() for k in ("one", "two", "doc", "start")), strict=True) if d > least[a, b]
+    }
+    for at_once in (1 << 20, 100):
+        monkeypatch.setattr(suffixes, "WINDOWS", at_once)
+        blobs = suffixes._blobs([(0, 0, suffixes.pack(windows, steps=True))])
+        found = [suffixes.unpack(b.as_py(), suffixes.RUN, steps=True) for out in suffixes._compare(iter([blobs]), 1) for b in out.column("blob")]
+        got = [(d, s + i) for f in found for d, s, n in zip(f["doc"].tolist(), f["start"].tolist(), f["count"].tolist(), strict=True) for i in range(n)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_pieces_of_a_long_text_have_each_window_once(monkeypatch):
     rng = np.random.default_rng(9)
     text = rng.integers(97, 123, 5_000).astype(np.uint8).tobytes()
