@@ -9,6 +9,7 @@ from textloom.functions.tokens import Codec
 from textloom.operators.ledger import LEDGER_SCHEMA, latest
 from textloom.operators.vocabulary import train_vocabulary
 from textloom.plans import ingest as I
+from textloom.queries import ingest as queries
 from textloom.sources.catalog import CATALOG_SCHEMA
 from textloom.streaming.ingest import IngestOptions
 
@@ -213,3 +214,28 @@ def test_intervals_with_a_quota_repeated_rows_and_nothing(spark, codec, source,
     assert running(spark, empty) == [(0, True, 0)] and ids(spark, empty) == []
     with pytest.raises(ValueError):
         I.run_catalog(spark, sets, {"a": layout(source)}, codec, empty, IngestOptions(interval=0))
+
+
+def tables(spark, folder, html):
+    """Documents, conversations and pages of a query's folder; ``html`` is the type of the pages' texts."""
+    rows = [(i, f"text number {i} abc " * 8, "en") for i in range(70)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    rows = [(i, 0, f"turn number {i} abc " * 8) for i in range(65)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    pages = spark.range(3).select(F.col("id").alias("page_id"), F.repeat(F.lit("7"), 150).alias("html"))
+    pages = pages.withColumn("html", F.col("html") if html == "string" else F.lit(7).cast(html))
+    pages.coalesce(1).write.parquet(f"{folder}/pages.parquet")
+
+
+def test_a_query_does_not_return_the_rest_of_a_failed_run(spark, codec, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "_codec", lambda spark_, sf: codec)
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    tables(spark, good, "string")
+    found = queries.interval_commits_fine(spark, good).select("phase", "samples", "completed").collect()
+    assert sorted((r.phase[:6], r.samples, r.completed) for r in found) == [
+        ("phase1", 64, False), ("phase1", 70, True), ("phase2", 64, False), ("phase2", 65, True), ("phase3", 3, True),
+    ]
+    tables(spark, bad, "bigint")
+    with pytest.raises(I.IngestFailed, match="phase3_function_calling/pages") as failed:
+        queries.interval_commits_fine(spark, bad)
+    assert [u.dataset for u in failed.value.errors] == ["pages"]

@@ -66,6 +66,14 @@ DATA_SCHEMA = StructType(
 STAGED_SCHEMA = "doc_id bigint, text string, language string, dataset string, phase string, subset string, slot int"
 
 
+class IngestFailed(RuntimeError):
+    """Units of a run failed; ``errors`` has them, and the ledger and the data lack what they hold."""
+
+    def __init__(self, errors: Mapping[Unit, str]) -> None:
+        self.errors = dict(errors)
+        super().__init__("; ".join(f"{u.phase}/{u.dataset}/{u.subset}: {e}" for u, e in self.errors.items()))
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a dataset lies and what its columns mean. ``subset`` selects a subset's rows by its name."""
@@ -371,11 +379,14 @@ def run_catalog(
     max_units: int | None = None,
     retries: int = MAX_RETRIES,
     files_per_batch: int | None = None,
+    strict: bool = False,
 ) -> dict[Unit, str]:
     """Ingest every unit of the catalogue that is not completed; returns the errors of those that failed.
 
     A unit that fails, or has no layout, is marked in the ledger and the others go on; the next run tries
     it again. ``test`` takes at most TEST_SAMPLES rows a unit; ``max_units`` ends the run after so many.
+    With ``strict`` a run with failed units ends in IngestFailed once the others are done, so what it wrote
+    cannot be taken for the whole.
     """
     options = options or IngestOptions(complete=True)
     if (options.interval is not None and options.interval < 1) or options.step_intervals < 1:
@@ -383,12 +394,16 @@ def run_catalog(
     if test:
         options = replace(options, max_samples=min(TEST_SAMPLES, options.max_samples or TEST_SAMPLES))
     errors: dict[Unit, str] = {}
+    cause = None
     for unit in plan_units(spark, catalog, output, options.phases)[:max_units]:
         try:
             run_unit(spark, unit, layouts[unit.dataset], codec, output, options, retries, files_per_batch)
         except Exception as error:
+            cause = cause or error
             errors[unit] = (str(error).splitlines() or [type(error).__name__])[0]
             _close(spark, output, unit, failed=True, error_message=errors[unit], retry_count=retries if unit.streaming else 0)
+    if strict and errors:
+        raise IngestFailed(errors) from cause
     return errors
 
 

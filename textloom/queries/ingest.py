@@ -56,7 +56,7 @@ FROM enc JOIN texts USING (k) GROUP BY phase, dataset_name, subset""",
 def catalog_ingest(spark, sf):
     """Three phases of one catalogue in one run, one of them as batches."""
     output = fresh_path(spark, "ingest")
-    I.run_catalog(spark, _catalog(spark), _layouts(sf), _codec(spark, sf), output)
+    I.run_catalog(spark, _catalog(spark), _layouts(sf), _codec(spark, sf), output, strict=True)
     state = latest(I.stored_ledger(spark, output).select(*LEDGER_SCHEMA.fieldNames()))
     return state.select(
         "phase",
@@ -92,7 +92,7 @@ def batch_resume(spark, sf):
     """Batch subsets, stopped after one of them and then finished: each is committed once."""
     output, codec = fresh_path(spark, "ingest"), _codec(spark, sf)
     for units in (1, None, None):
-        I.run_catalog(spark, _documents(spark), _layouts(sf), codec, output, max_units=units)
+        I.run_catalog(spark, _documents(spark), _layouts(sf), codec, output, max_units=units, strict=True)
     return _counted(spark, output)
 
 
@@ -104,10 +104,10 @@ def batch_resume(spark, sf):
 def reset_ingest(spark, sf):
     """Ingest, reset one subset, delete another, ingest what the reset opened: it starts at zero."""
     output, codec = fresh_path(spark, "ingest"), _codec(spark, sf)
-    I.run_catalog(spark, _documents(spark), _layouts(sf), codec, output)
+    I.run_catalog(spark, _documents(spark), _layouts(sf), codec, output, strict=True)
     I.reset(spark, output, PHASE, "documents", "en")
     rest = _documents(spark).withColumn("subsets", F.array_remove("subsets", "fr"))
-    I.run_catalog(spark, rest, _layouts(sf), codec, output)
+    I.run_catalog(spark, rest, _layouts(sf), codec, output, strict=True)
     I.delete(spark, output, PHASE, "documents", "fr")
     return _counted(spark, output)
 
@@ -126,7 +126,7 @@ def _interval_commits(spark, sf, interval):
     output = fresh_path(spark, "ingest")
     options = IngestOptions(complete=True, interval=interval)
     whole = _catalog(spark, streaming=False).withColumn("subsets", F.lit(None).cast("array<string>"))
-    I.run_catalog(spark, whole, _layouts(sf), _codec(spark, sf), output, options)
+    I.run_catalog(spark, whole, _layouts(sf), _codec(spark, sf), output, options, strict=True)
     commits = I.stored_ledger(spark, output).where("op = 'commit' AND batch_id >= 0")
     streams = F.col("phase") == PHASE_3
     # A stream is marked as completed by a row of its own; its last commit has all of its samples.
