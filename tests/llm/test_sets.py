@@ -132,6 +132,31 @@ def test_repeats_of_one_id_with_other_texts_stay(spark):
     assert got == [(1, 80, 0), (1, 160, 0), (2, 161, 160), (3, 1, 0)]
 
 
+def test_windows_are_compared_in_turns_and_never_stored(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    phrases = ["".join(rng.choice(list("abcd"), 70)) for _ in range(12)]
+    rows = [(i, "".join(phrases[j][int(rng.integers(0, 9)) :] for j in rng.choice(12, 5))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept, store = {}, suffixes.write_and_read
+
+    def stored(df, label):
+        kept.setdefault(label, []).append(store(df, label))
+        return kept[label][-1]
+
+    monkeypatch.setattr(suffixes, "write_and_read", stored)
+    monkeypatch.setattr(suffixes, "WINDOW_BYTES", 4)
+    want = [(doc, gone, spans, text) for (doc, _), (text, gone, spans) in zip(rows, _brute_repeats([(d, t.encode()) for d, t in rows]), strict=True)]
+    for share in (0, 6):
+        kept.clear()
+        monkeypatch.setattr(suffixes, "TURN_SHARE", share)
+        found = suffixes.remove_repeats(docs).collect()
+        assert sorted((r.doc_id, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == want
+        assert (len(kept["suffix-windows"]) > 1) == (share > 0)
+        outcome = kept["suffix-outcome"][0]
+        assert {r.kind for r in outcome.select("kind").distinct().collect()} <= {"done", "waiting"}
+        assert outcome.agg({"wide": "sum"}).first()[0] > 0
+
+
 def test_a_family_of_levels_decides_as_one_array():
     rng = np.random.default_rng(8)
     base = rng.integers(97, 101, 4_000).astype(np.uint8).tobytes()
